@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sunframe.llm.bpe import op4_bpe
+from sunframe.llm.classifier import op10_classifier
 from sunframe.llm.licenses import op3_licenses
 from sunframe.llm.packing import op7_packing
+from sunframe.llm.rules import op5_rules
 from sunframe.llm.secrets import op6_secrets
 from sunframe.llm.simhash import op1_simhash
 
@@ -16,8 +18,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_licenses": op3_licenses,
     "op4_bpe": op4_bpe,
+    "op5_rules": op5_rules,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
+    "op10_classifier": op10_classifier,
 }
 
 #: DuckDB SQL by query, where SQL can express it.
