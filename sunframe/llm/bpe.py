@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunframe.llm.common import map_texts, table
-from sunframe.llm.encoding import CACHE_CHUNKS, chunks_of, default_tokenizer, drops_white_space
+from sunframe.llm.encoding import CACHE_CHUNKS, ChunkCoder, default_tokenizer, drops_white_space
 
 #: Moves the last symbol of a word to an alphabet of its own, as the end-of-word suffix does.
 _END = 0x4000
@@ -31,10 +30,11 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 _PRINTABLE = re.compile(r"[!-~]*\Z")
 
 
-class PrefixBPE:
+class PrefixBPE(ChunkCoder):
     """Encoder and decoder of one vocabulary file with an end-of-word suffix and white space dropped."""
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         import ahocorasick
         from tokenizers import Tokenizer
 
@@ -75,8 +75,7 @@ class PrefixBPE:
             if stands[t]:
                 self._suffixes.add_word(x, t)
         self._suffixes.make_automaton()
-        self._words: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._words: dict[str, list[int]] = {}
 
     def _spine(self, t: int, known: dict, child: dict) -> list[tuple[int, int]]:
         """Symbols that stand at one end of a token while it forms, each with the rank of the merge that uses it up."""
@@ -150,19 +149,10 @@ class PrefixBPE:
                 ids += got
         return np.array(ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
-        parts = [chunks_of(t) for t in texts]
-        new = set(chain.from_iterable(parts)).difference(self._chunks)
-        if new and len(self._chunks) + len(new) > CACHE_CHUNKS:
-            self._chunks.clear()
-            new = set(chain.from_iterable(parts))
+    def whole(self, texts: list[str]) -> list[bytes]:
         if len(self._words) > CACHE_CHUNKS:
             self._words.clear()
-        for chunk in new:
-            self._chunks[chunk] = self._chunk(chunk)
-        known = self._chunks.__getitem__
-        return [b"".join(map(known, p)) for p in parts]
+        return [self._chunk(t) for t in texts]
 
     def decode(self, ids: bytes) -> str:
         """The text that the library's decode gives with skip_special_tokens=False: tokens joined by spaces; unknown ids are left out."""

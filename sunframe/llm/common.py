@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in one Arrow batch: bounds a worker's memory when rows are long.
-TEXT_BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch: bounds a worker's memory when texts are long.
+TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 2000, 32 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _UPPER = bytes(range(65, 91))
@@ -25,6 +25,7 @@ _STR_LOWER = {c: c + 32 for c in range(65, 91)}
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches and let Python workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
