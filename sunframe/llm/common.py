@@ -60,10 +60,10 @@ def _remove(spark: SparkSession, path: str) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back, so that lost executors cost no rework."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
