@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,8 +99,6 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], l
 
 def text_filter(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text ``make()`` accepts."""
-    import pandas as pd
-
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         work = make()
         for part in parts:

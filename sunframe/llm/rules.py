@@ -15,6 +15,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,8 +217,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_by_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Stage: the rows of ``docs`` that the rules keep, all columns; thresholds come from the labels of these rows."""
-    import pandas as pd
-
     prepare(docs.sparkSession)
     cutoffs = calibrate(written(statistics(docs), "rules-statistics"), labels)
 
