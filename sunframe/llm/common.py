@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import os
 import tempfile
 import uuid
@@ -68,6 +69,14 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Give back disk that nothing needs any more: ``path``, and the shuffle files of frames out of reach."""
+    gc.collect()
+    spark._jvm.System.gc()
+    if path:
+        _remove(spark, path)
+
+
 def fresh(name: str, taken: Iterable[str]) -> str:
     """``name``, lengthened until it clashes with no column."""
     low = {c.lower() for c in taken}

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import id_and_text, shared_path, table, written
+from sunframe.llm.common import id_and_text, release, shared_path, table
 from sunframe.llm.encoding import default_tokenizer, encoder
 
 END_ID = 2
@@ -153,12 +153,15 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     tokenizer = tokenizer or default_tokenizer()
     width = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     ddl = "doc_id long, n_tokens long, root binary, hashes array<binary>, new array<binary>, payloads array<binary>"
-    staged = written(id_and_text(docs).mapInArrow(_cut_documents(tokenizer, end_id, width), ddl), "store-staged", **_FILES)
+    spark, staging = docs.sparkSession, shared_path(docs.sparkSession, "store-staged")
+    id_and_text(docs).mapInArrow(_cut_documents(tokenizer, end_id, width), ddl).write.options(**_FILES).parquet(staging)
+    staged = spark.read.schema(ddl).parquet(staging)
     each = staged.select(F.explode(F.arrays_zip("new", "payloads")).alias("c")).select(F.col("c.new").alias("hash"), F.col("c.payloads").alias("payload"))
     once = each.dropDuplicates(["hash"]).withColumn("width", F.lit(width))
     once.write.options(**_FILES).parquet(f"{path}/chunks")
     ordered = staged.select("doc_id", "n_tokens", "root", "hashes").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root")
     ordered.mapInArrow(_segments, _RECIPE_DDL).write.options(**_FILES).parquet(f"{path}/recipes")
+    release(spark, staging)
 
 
 #: Compact files; payloads never repeat, so no dictionary.
@@ -166,19 +169,53 @@ _FILES = {"compression": "zstd", "parquet.enable.dictionary": "false"}
 _CHUNK_DDL = "hash binary, payload binary, width int"
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for digest, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if blake2b(payload, digest_size=16).digest() != digest:
-                raise ValueError(f"chunk {digest.hex()} does not match its hash")
-        yield b
+def _verified(payload_out: bool):
+    """Chunks that match their hash; with their ids, or with the number and the CRC-32 of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, crcs = [], []
+            for digest, payload, width in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if blake2b(payload, digest_size=16).digest() != digest:
+                    raise ValueError(f"chunk {digest.hex()} does not match its hash")
+                if not payload_out:
+                    sizes.append(len(payload) // width)
+                    crcs.append(zlib.crc32(payload if width == 4 else np.frombuffer(payload, "<u2").astype("<u4").tobytes()))
+            yield b if payload_out else pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())], ["hash", "size", "crc"])
+
+    return run
+
+
+class _Shift:
+    """CRC-32 of ``a + b`` from those of ``a`` and ``b``: the first is carried over the bytes of the second, a linear map by tables."""
+
+    def __init__(self) -> None:
+        self._tables: dict[int, list[list[int]]] = {}
+
+    def join(self, first: int, second: int, size: int) -> int:
+        t = self._tables.get(size)
+        if t is None:
+            zeros = bytes(size)
+            empty = zlib.crc32(zeros)
+            unit = [zlib.crc32(zeros, 1 << k) ^ empty for k in range(32)]
+            t = [[0] * 256 for _ in range(4)]
+            for k in range(4):
+                for v in range(1, 256):
+                    low = v & -v
+                    t[k][v] = t[k][v ^ low] ^ unit[8 * k + low.bit_length() - 1]
+            self._tables[size] = t
+        return t[0][first & 255] ^ t[1][first >> 8 & 255] ^ t[2][first >> 16 & 255] ^ t[3][first >> 24] ^ second
+
+
+_SHIFT = _Shift()
 
 
 def _documents(digest_only: bool):
-    """Rebuild documents from their sorted chunks: ids, or their length and CRC-32."""
+    """Rebuild documents from their sorted chunks: their ids, or the length and CRC-32 of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, row, crc, count, tree, parts = None, None, 0, 0, Merkle(), []
+        shift = _SHIFT.join
 
         def done():
             if count != row[3] or tree.root() != row[4]:
@@ -188,20 +225,20 @@ def _documents(digest_only: bool):
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()) if digest_only else ("ids", pa.binary())])
         for b in batches:
             out = []
-            for number, doc_id, start, n_tokens, root, digest, payload, width in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for number, doc_id, start, n_tokens, root, digest, what, extra in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if number != key:
                     if row:
                         out.append(done())
                     key, row, crc, count, tree, parts = number, (number, doc_id, start, n_tokens, root), 0, 0, Merkle(), []
-                if payload is None:
+                if what is None:
                     raise ValueError(f"chunk {digest.hex()} of document {doc_id} is missing")
-                ids = payload if width == 4 else np.frombuffer(payload, "<u2").astype("<u4").tobytes()
-                count += len(ids) // 4
                 tree.add(digest)
                 if digest_only:
-                    crc = zlib.crc32(ids, crc)
+                    crc = shift(crc, extra, 4 * what)
+                    count += what
                 else:
-                    parts.append(ids)
+                    parts.append(what if extra == 4 else np.frombuffer(what, "<u2").astype("<u4").tobytes())
+                    count += len(parts[-1]) // 4
             yield pa.RecordBatch.from_pylist(out, schema=schema)
         if row:
             yield pa.RecordBatch.from_pylist([done()], schema=schema)
@@ -242,7 +279,8 @@ def _check_segments(recipes: DataFrame) -> None:
 def read_store(spark: SparkSession, path: str, digest_only: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` (little-endian unsigned 32-bit) of every document, verified; ``start`` counts the ids before it.
 
-    ``digest_only`` gives ``ids_crc32`` in place of ``ids``, without holding a document whole.
+    ``digest_only`` gives ``ids_crc32`` in place of ``ids``: chunks are read, verified and summed where they
+    lie, and a document's sum is joined from those of its chunks, so no ids are moved.
     """
     recipes = spark.read.schema(_RECIPE_DDL).parquet(f"{path}/recipes")
     _check_segments(recipes)
@@ -253,9 +291,10 @@ def read_store(spark: SparkSession, path: str, digest_only: bool = False) -> Dat
     rows = recipes.filter("place >= 0").join(F.broadcast(offsets), F.col("segment") == F.col("s"))
     number = F.shiftleft(F.col("segment").cast("long"), 40) + F.col("place")
     uses = rows.select(number.alias("number"), "doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "root", F.posexplode("hashes").alias("at", "digest"))
-    chunks = spark.read.schema(_CHUNK_DDL).parquet(f"{path}/chunks").mapInArrow(_verified, _CHUNK_DDL)
+    held = ("size", "crc") if digest_only else ("payload", "width")
+    chunks = spark.read.schema(_CHUNK_DDL).parquet(f"{path}/chunks").mapInArrow(_verified(not digest_only), "hash binary, size long, crc long" if digest_only else _CHUNK_DDL)
     joined = uses.join(chunks, uses["digest"] == chunks["hash"], "left")
-    ready = joined.repartition("number").sortWithinPartitions("number", "at").select("number", "doc_id", "start", "n_tokens", "root", "digest", "payload", "width")
+    ready = joined.repartition("number").sortWithinPartitions("number", "at").select("number", "doc_id", "start", "n_tokens", "root", "digest", *held)
     last = "ids_crc32 long" if digest_only else "ids binary"
     return ready.mapInArrow(_documents(digest_only), f"doc_id long, start long, n_tokens long, {last}")
 
