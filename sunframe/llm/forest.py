@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -147,13 +148,21 @@ def _index_rows(forest: Forest, width: int, blocks: int):
     return run
 
 
-def _query_rows(forest: Forest, width: int, blocks: int, visits: int):
+def _query_rows(forest: Forest, sample: Broadcast, width: int, blocks: int, visits: int, k: int):
+    """The leaves each query visits, and a score that its k + 1 best reach at least: their score in the sample."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sample.value
         for b in batches:
-            found = [forest.search(q, visits) for q in _matrix(b.column(1), width)]
+            asked = _matrix(b.column(1), width)
+            least = np.full(len(b), -np.inf)
+            if len(seen) > k:
+                for at in range(0, len(b), 256):
+                    least[at : at + 256] = np.partition(asked[at : at + 256] @ seen.T, len(seen) - k - 1, axis=1)[:, len(seen) - k - 1]
+            found = [forest.search(q, visits) for q in asked]
             leaf = np.array([x * blocks + k for f in found for x in f for k in range(blocks)], np.int64)
             rows = pa.array(np.repeat(np.arange(len(b)), [len(f) * blocks for f in found]), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), b.column(0).take(rows), b.column(1).take(rows)], ["leaf", "query_id", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), b.column(0).take(rows), b.column(1).take(rows), pa.array(least).take(rows)], ["leaf", "query_id", "q", "least"])
 
     return run
 
@@ -202,27 +211,29 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("point", pa.int64()), ("ids", pa.
 
 
 def _rerank(width: int, k: int):
-    """The k + 1 best points of a leaf for each query: one of them may be the query itself."""
+    """The k + 1 best points of a leaf for each query, if they reach its least score: one of them may be the query itself."""
 
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(index) or not len(queries):
             return _FOUND.empty_table()
         x, point = _matrix(index["v"].combine_chunks(), width), index["point"].to_numpy()
         q_all, query = _matrix(queries["q"].combine_chunks(), width), queries["query_id"].to_numpy()
+        least = queries["least"].to_numpy()
         rows, of, scores = [], [], []
         for at in range(0, len(q_all), 256):
             rough = q_all[at : at + 256] @ x.T
             for i, row in enumerate(rough):
-                near = np.arange(len(x))
-                if len(x) > k + 1:
-                    kth = np.partition(row, len(x) - k - 1)[len(x) - k - 1]
-                    near = np.flatnonzero(row >= kth - 1e-9 * max(1.0, abs(kth)))
+                low = least[at + i]
+                near = np.flatnonzero(row >= low - 1e-9 * max(1.0, abs(low))) if np.isfinite(low) else np.arange(len(x))
+                if len(near) > k + 1:
+                    kth = np.partition(row[near], len(near) - k - 1)[len(near) - k - 1]
+                    near = near[row[near] >= kth - 1e-9 * max(1.0, abs(kth))]
                 exact = (x[near] * q_all[at + i]).sum(axis=1)
                 order = np.lexsort((point[near], -exact))[: k + 1]
                 rows.append(near[order])
                 of.append(np.full(len(order), query[at + i]))
                 scores.append(exact[order])
-        take = pa.array(np.concatenate(rows))
+        take = pa.array(np.concatenate(rows), pa.int64())
         return pa.table([pa.array(np.concatenate(of)), index["point"].take(take), index["ids"].take(take), pa.array(np.concatenate(scores))], schema=_FOUND)
 
     return run
@@ -248,9 +259,10 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, trees: int = TR
     x, own = np.array([r["v"] for r in drawn], np.float64).reshape(-1, width), np.array([r["point"] for r in drawn], np.int64)
     forest = Forest(x, math.sqrt(size["norm"] or 0.0), math.ceil(math.log2(max(1.0, n / leaf))), trees)
     visits = visits_for(points, forest, x[:MEASURED], own[:MEASURED], k, recall)
+    shared = vectors.sparkSession.sparkContext.broadcast(x)  # at most ``sample`` vectors
     blocks = max(1, math.ceil(n / max(1, min(t.leaves for t in forest.trees)) / BLOCK))
     filed = points.select("point", "v", "ids").mapInArrow(_index_rows(forest, width, blocks), f"leaf long, point long, ids array<long>, v {kind}")
-    asked = rows.filter(is_query).select("vec_id", "v").mapInArrow(_query_rows(forest, width, blocks, visits), f"leaf long, query_id long, q {kind}")
+    asked = rows.filter(is_query).select("vec_id", "v").mapInArrow(_query_rows(forest, shared, width, blocks, visits, k), f"leaf long, query_id long, q {kind}, least double")
     found = filed.groupBy("leaf").cogroup(asked.groupBy("leaf")).applyInArrow(_rerank(width, k), "query_id long, point long, ids array<long>, score double")
     # A point found in several trees has one score, so it has one dense rank.
     place = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "point"))
