@@ -149,18 +149,20 @@ def _index_rows(forest: Forest, width: int, blocks: int):
 
 
 def _query_rows(forest: Forest, sample: Broadcast, width: int, blocks: int, visits: int, k: int):
-    """The leaves each query visits, and a score that its k + 1 best reach at least: their score in the sample."""
+    """The leaves each query visits, and a score that its k + 1 best in them reach at least: that of the sample's vectors there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = sample.value
+        filed = forest.file(seen) if len(seen) else np.zeros((0, 1), np.int64)
         for b in batches:
             asked = _matrix(b.column(1), width)
-            least = np.full(len(b), -np.inf)
-            if len(seen) > k:
-                for at in range(0, len(b), 256):
-                    least[at : at + 256] = np.partition(asked[at : at + 256] @ seen.T, len(seen) - k - 1, axis=1)[:, len(seen) - k - 1]
             found = [forest.search(q, visits) for q in asked]
-            leaf = np.array([x * blocks + k for f in found for x in f for k in range(blocks)], np.int64)
+            least = np.full(len(b), -np.inf)
+            for i, leaves in enumerate(found):
+                met = seen[np.isin(filed, leaves).any(axis=1)]
+                if len(met) > k:
+                    least[i] = np.partition(met @ asked[i], len(met) - k - 1)[len(met) - k - 1]
+            leaf = np.array([x * blocks + part for f in found for x in f for part in range(blocks)], np.int64)
             rows = pa.array(np.repeat(np.arange(len(b)), [len(f) * blocks for f in found]), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), b.column(0).take(rows), b.column(1).take(rows), pa.array(least).take(rows)], ["leaf", "query_id", "q", "least"])
 
