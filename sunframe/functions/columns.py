@@ -64,5 +64,8 @@ def hour_of_day(ts: Column) -> Column:
 
 
 def rounded(x: Column, digits: int = 6) -> Column:
-    """Rounded, with no negative zero: what engines that add in different orders can agree on."""
-    return F.round(x, digits) + F.lit(0.0)
+    """Rounded, with no negative zero: what engines that add in different orders can agree on.
+
+    A nudge takes exact halves, which engines round differently, to one side.
+    """
+    return F.round(x + F.lit(2e-10), digits) + F.lit(0.0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sunframe.config import BASE_CHANNELS, RAW_NAMES, RESOLUTIONS, ForecastConfig
 from sunframe.errors import MissingDataError, MissingExpandedError, ResolutionError
-from sunframe.functions.columns import clean_nan, epoch_ns_to_ts, require_columns
+from sunframe.functions.columns import clean_nan, epoch_ns_to_ts, require_columns, rounded
 from sunframe.operators.position import numbered
 
 
@@ -81,9 +81,11 @@ def write_expanded(df: DataFrame, config: ForecastConfig) -> str:
 
 
 def resample(events: DataFrame, unit: str = "hour", ts: str = "ts", value: str = "value") -> DataFrame:
-    """Statistics of events by calendar unit."""
+    """Statistics of events by calendar unit. Means come from exact sums, so they do not depend on the order of rows."""
+    n = F.count(F.lit(1))
+    exact = F.sum(F.col(value).cast("decimal(18,6)")).cast("double") / n
     return events.groupBy(F.date_trunc(unit, ts).alias("ts")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value).alias("av"), F.avg("user_id").alias("au"), F.min(value).alias("mn"), F.max(value).alias("mx")
+        n.alias("n"), exact.alias("av"), (F.sum("user_id").cast("double") / n).alias("au"), F.min(value).alias("mn"), F.max(value).alias("mx")
     )
 
 
@@ -98,15 +100,15 @@ def telemetry_view(events: DataFrame) -> DataFrame:
     power = F.col("av") / 12.0 * F.when(hour % 6 == 5, 0.25).otherwise(1.0)
     return h.select(
         "ts",
-        F.round(F.when(noon & (F.dayofmonth("ts") == 7), 2.5).when(noon, 12.0).when(hour == 3, 0.0).otherwise(sun), 6).alias("poa_irr"),
-        F.round(F.lit(5.0) + F.col("au") * 20.0 / 150.0, 6).alias("temperature"),
-        F.round(F.when(noon, 30.0).otherwise(F.col("n") * 0.4), 6).alias("wind_speed"),
-        F.round(F.least(F.greatest(F.col("mn") / 5.0, F.lit(0.05)), F.lit(1.5)), 6).alias("humidity"),
-        F.round(F.lit(1000.0) + F.col("mx") / 50.0, 6).alias("pressure"),
-        F.round(F.when(hour == 3, 0.0005).otherwise(power), 6).alias("p_solar"),
-        F.round(F.greatest((F.col("av") - 30.0) / 45.0, F.lit(0.0)), 6).alias("ghi"),
-        F.round(F.pmod(F.col("au") * 7.0, F.lit(360.0)), 6).alias("wind_dir"),
-        F.round(F.col("n") * 0.15, 6).alias("p_wind"),
+        rounded(F.when(noon & (F.dayofmonth("ts") == 7), 2.5).when(noon, 12.0).when(hour == 3, 0.0).otherwise(sun)).alias("poa_irr"),
+        rounded(F.lit(5.0) + F.col("au") * 20.0 / 150.0).alias("temperature"),
+        rounded(F.when(noon, 30.0).otherwise(F.col("n") * 0.4)).alias("wind_speed"),
+        rounded(F.least(F.greatest(F.col("mn") / 5.0, F.lit(0.05)), F.lit(1.5))).alias("humidity"),
+        rounded(F.lit(1000.0) + F.col("mx") / 50.0).alias("pressure"),
+        rounded(F.when(hour == 3, 0.0005).otherwise(power)).alias("p_solar"),
+        rounded(F.greatest((F.col("av") - 30.0) / 45.0, F.lit(0.0))).alias("ghi"),
+        rounded(F.pmod(F.col("au") * 7.0, F.lit(360.0))).alias("wind_dir"),
+        rounded(F.col("n") * 0.15).alias("p_wind"),
     )
 
 
