@@ -58,10 +58,10 @@ def _first_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
 
 
 def node_of(url: Column) -> Column:
-    """What stands for a URL in the graph: scheme and host in lower case, ``/`` for an empty path, no fragment; null without a host."""
+    """What stands for a URL in the graph: scheme and host in lower case, ``/`` for an empty path, no empty query, no fragment; null without a host."""
     bare = F.regexp_replace(url, r"(?s)#.*", "")
     scheme = F.translate(F.regexp_extract(bare, r"(?s)^\s*(.*?)://", 1), _UPPER, _LOWER)
-    path, query = path_of(bare), F.regexp_extract(bare, r"(?s)(\?.*)$", 1)
+    path, query = path_of(bare), F.regexp_extract(bare, r"(?s)(\?.+)$", 1)
     node = F.concat(scheme, F.lit("://"), host_of(bare), F.when(path == "", "/").otherwise(path), query)
     return F.when(host_of(bare) != "", node)
 
