@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import gc
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -15,13 +11,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunframe.sources.scratch import materialised as written
+from sunframe.sources.scratch import remove, shared_path
+
+__all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "shared_path", "table", "text_column", "text_filter", "written"]
+
 #: Rows and bytes of one Arrow batch: bounds a worker's memory when texts are long.
 TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 2000, 32 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _UPPER = bytes(range(65, 91))
 ASCII_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
-_STR_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -39,42 +39,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
-    found = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if found.isDefined():
-        return found.get()
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(base or tempfile.mkdtemp(prefix="sunframe-checkpoint-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
-    path = f"{shared_folder(spark)}/sunframe/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):  # the session may be gone; the folder is scratch
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back, so that lost executors cost no rework."""
-    path = shared_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def release(spark: SparkSession, path: str | None = None) -> None:
     """Give back disk that nothing needs any more: ``path``, and the shuffle files of frames out of reach."""
     gc.collect()
     spark._jvm.System.gc()
     if path:
-        _remove(spark, path)
+        remove(spark, path)
 
 
 def fresh(name: str, taken: Iterable[str]) -> str:
@@ -85,10 +55,6 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
-def ascii_lower(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_STR_LOWER)
-
-
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that text operators read; everything else stays in the file."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

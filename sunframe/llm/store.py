@@ -225,20 +225,25 @@ def _documents(digest_only: bool):
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()) if digest_only else ("ids", pa.binary())])
         for b in batches:
             out = []
-            for number, doc_id, start, n_tokens, root, digest, what, extra in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if number != key:
+            numbers = b.column(0).to_numpy()
+            firsts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]]) if len(numbers) else np.zeros(0, np.int64)
+            heads = zip(*(b.column(k).take(pa.array(firsts)).to_pylist() for k in range(5)), strict=True)
+            digests, whats, extras = (b.column(k).to_pylist() for k in (5, 6, 7))
+            for head, i, j in zip(heads, firsts.tolist(), [*firsts[1:].tolist(), len(numbers)], strict=True):
+                if head[0] != key:
                     if row:
                         out.append(done())
-                    key, row, crc, count, tree, parts = number, (number, doc_id, start, n_tokens, root), 0, 0, Merkle(), []
-                if what is None:
-                    raise ValueError(f"chunk {digest.hex()} of document {doc_id} is missing")
-                tree.add(digest)
-                if digest_only:
-                    crc = shift(crc, extra, 4 * what)
-                    count += what
-                else:
-                    parts.append(what if extra == 4 else np.frombuffer(what, "<u2").astype("<u4").tobytes())
-                    count += len(parts[-1]) // 4
+                    key, row, crc, count, tree, parts = head[0], head, 0, 0, Merkle(), []
+                for digest, what, extra in zip(digests[i:j], whats[i:j], extras[i:j], strict=True):
+                    if what is None:
+                        raise ValueError(f"chunk {digest.hex()} of document {row[1]} is missing")
+                    tree.add(digest)
+                    if digest_only:
+                        crc = shift(crc, extra, 4 * what)
+                        count += what
+                    else:
+                        parts.append(what if extra == 4 else np.frombuffer(what, "<u2").astype("<u4").tobytes())
+                        count += len(parts[-1]) // 4
             yield pa.RecordBatch.from_pylist(out, schema=schema)
         if row:
             yield pa.RecordBatch.from_pylist([done()], schema=schema)
