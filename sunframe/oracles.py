@@ -157,6 +157,43 @@ RELAXATION = sql(
     "pv",
     recursive=True,
 )
+#: Air properties that do not depend on the panel, then the recursion.
+THERMAL = sql(
+    f""" air as (
+  select rn, poa_irr as e, temperature as c, temperature + 273.15 as ta, pressure*100.0 as p, least(humidity, 1.0) as rh, abs(wind_speed) as v, temp_module as tm from pv),
+ gas as (
+  select *, least(greatest(rh*611.21*exp((18.678 - c/234.5)*c/(257.14 + c))/p, 0.0), 1.0) as x,
+    1.716e-5*pow(ta/273.15, 1.5)*(273.15 + 110.4)/(ta + 110.4) as mua, 1.12e-5*pow(ta/350.0, 1.5)*(350.0 + 1064.0)/(ta + 1064.0) as muv,
+    0.0241*pow(ta/273.15, 1.5)*(273.15 + 194.4)/(ta + 194.4) as ka, 0.0181*pow(ta/300.0, 1.35) as kv,
+    p/(285.9*ta)*(1 + rh)/(1 + rh*461.5/285.9) as rho from air),
+ wilke as (
+  select *, pow(1 + sqrt(mua/muv)*pow(18.02/28.96, 0.25), 2)/(sqrt(8.0)*sqrt(1 + 28.96/18.02)) as pav,
+    pow(1 + sqrt(muv/mua)*pow(28.96/18.02, 0.25), 2)/(sqrt(8.0)*sqrt(1 + 18.02/28.96)) as pva, x*18.02/(x*18.02 + (1 - x)*28.96) as w from gas),
+ mix as (
+  select *, (1 - x)*mua/((1 - x) + x*pav) + x*muv/(x + (1 - x)*pva) as mu, (1 - x)*ka/((1 - x) + x*pav) + x*kv/(x + (1 - x)*pva) as k, (1 - w)*1006.0 + w*1860.0 as cp from wilke),
+ flow as (
+  select *, rho*v*10.0/mu as re, cp*mu/k as pr,
+    list_sum(list_transform(range(1, 100), lambda i: (case when rho*v*(10.0*i/99.0)/mu <= 1e5 then 0.453*sqrt(rho*v*(10.0*i/99.0)/mu) else 0.0308*pow(rho*v*(10.0*i/99.0)/mu, 0.8) end)*pow(cp*mu/k, 1/3.0)*k/(10.0*i/99.0)))/100 as forced
+  from mix),
+ -- One row ahead of the panel's temperature t: convection, then the step.
+ fold(rn, v, damped) as (
+  select rn, {{step}}, false from (select f.*, 273.15 + f.tm as t from flow f where rn = 0)
+  union all
+  select rn, case when abs(n - t) >= 5 then t + 0.1*(n - t) else n end, abs(n - t) >= 5
+  from (select rn, t, {{step}} as n from (select f.*, o.v as t from fold o join flow f on f.rn = o.rn + 1)))
+ select rn, {r("tm", "temp_module")}, {r("case when lead(damped) over (order by rn) then lead(fold.v) over (order by rn) else fold.v end - 273.15", "temp_module_rp")} from fold join (select rn, tm from air) using (rn)""".replace(
+        "{step}",
+        "t + (1000.0*e*15.0*0.53*0.3 + {h}*15.0*(ta - t) + (case when t >= ta then -0.3*5.670374419e-8*15.0*(pow(t, 4) - pow(ta, 4)) else 0.0 end))"
+        "*((case when {h} = 1e-16 then 0.0 else 1/({h}*15.0) end) + 0.1/(350.0*15.0*2))".replace(
+            "{h}",
+            "(case when re < 1e3 and {ra} > 1e4 and {ra} < 1e7 then 0.54*pow({ra}, 0.25)*k/10.0 when re < 1e3 and {ra} > 1e7 and {ra} < 1e11 then 0.15*pow({ra}, 1/3.0)*k/10.0 when forced = 0 then 1e-16 else forced end)".replace(
+                "{ra}", "(9.81/ta*abs(t - ta)*pow(15.0/23.0, 3)/pow(mu/rho, 2)*pr)"
+            ),
+        ),
+    ),
+    "pv",
+    recursive=True,
+)
 _DAILY_LEADS = ", ".join(f"lead(q,{i}) over (order by rn) as y{i}" for i in range(1, 6))
 DEMAND = f"""with d as (select row_number() over (order by l_shipdate) - 1 as rn, sum(l_quantity) as q from lineitem group by l_shipdate),
  f as (select rn, q, lag(q,5) over (order by rn) as x5, {_DAILY_LEADS} from d),
@@ -209,7 +246,10 @@ ORACLES = {
     "epoch_to_ts": "select event_id, epoch_us(ts)::bigint as us from events",
     "sort_by_ts": "select event_id, (row_number() over (order by ts, event_id) - 1)::bigint as rn from events",
     "thermal_relaxation": RELAXATION,
+    "thermal_full": THERMAL,
     "demand_daily_framing": DEMAND,
+    "import_expanded": sql(f"select rn::bigint as rn, {r('p_solar', 'p_solar')}, {r('mean_prev_h', 'mean_prev_h')} from expanded", "expanded"),
+    "results_round_trip": sql(f"select sample_id, h::int as h, {r('forecast', 'value')} from pairs", "pairs"),
     "stream_hourly": f"select epoch(date_trunc('hour',ts))::bigint as t, count(*)::bigint as n, {r('avg(value)', 'av')}, {r('min(value)', 'mn')}, {r('max(value)', 'mx')} from events group by date_trunc('hour',ts)",
 }
 #: Tables added after the shared ones follow a comma.

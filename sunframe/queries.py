@@ -17,8 +17,10 @@ from sunframe.operators.position import bucket_window, numbered, owned, with_hal
 from sunframe.operators.pv import clean_curtailment, clean_power, pv_performance, turbine_power
 from sunframe.operators.split import chronological
 from sunframe.operators.thermal import relaxation, thermal_model
-from sunframe.plans.forecast import run
+from sunframe.plans.forecast import load, run
 from sunframe.plant import PV
+from sunframe.sources.results import read_results, write_results
+from sunframe.sources.scratch import shared_path
 from sunframe.sources.telemetry import prune, resample, telemetry
 from sunframe.streaming.telemetry import hourly, read_events
 
@@ -347,6 +349,33 @@ for _query, (_model, _hyper) in _FORECASTS.items():
     query(_made)
 
 
+@query
+def import_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build and save the expanded table, then import it with fewer features."""
+    root = shared_path(spark, "import")
+    load(spark, TREE.with_(root=root, save_expanded=True), telemetry(spark, sf_dir))
+    names = ("p_solar", "mean_prev_h")
+    return keyed(load(spark, TREE.with_(root=root, mode="import", features=names)), *names, keys=["rn"])
+
+
+@query
+def results_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results in long form, written by kind and one kind read back."""
+    path = shared_path(spark, "results")
+    pairs = tested(spark, sf_dir)
+    kinds = [pairs.select("sample_id", "h", F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (("observed", "observed"), ("persistence", "forecast"))]
+    write_results(kinds[0].unionByName(kinds[1]), path)
+    return keyed(read_results(spark, path, "persistence"), "value", keys=["sample_id", "h"])
+
+
+@query
+def loss_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training and validation loss by epoch."""
+    rows = telemetry(spark, sf_dir)
+    made = run(spark, ForecastConfig(model="CNN", features=FEATURES), rows).model.history_frame(rows)
+    return keyed(made, "loss", "val_loss", keys=["epoch"])
+
+
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly view as a stream over the same files (an extension), run to the end of what is there."""

@@ -39,4 +39,4 @@ def test_entry_and_names(spark):
     assert driver.entry(spark).count() == 10
     assert set(driver.oracle_sql()) <= set(driver.queries())
     without = set(QUERIES) - set(ORACLES)
-    assert without == {"thermal_full", "rf_forecast", "svr_forecast", "cnn_forecast", "lstm_forecast", "cnn_lstm_forecast"}
+    assert without == {"loss_history", "rf_forecast", "svr_forecast", "cnn_forecast", "lstm_forecast", "cnn_lstm_forecast"}
