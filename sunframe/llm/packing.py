@@ -8,7 +8,9 @@ a tree, until one group is left. Rows are bins with their members, so nothing is
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,10 +26,12 @@ END_ID = 0
 NEARLY_FULL = 0.995
 #: Nodes that meet in one node of the next level.
 FAN = 8
-#: Pieces packed at once in a partition, and underfull bins that a node hands up. Beyond them the
-#: fullest bins are emitted as they are: no piece is lost, and a task's memory is bounded.
+#: Pieces packed at once in a partition, and pieces in the underfull bins that a node hands up. Beyond
+#: them the fullest bins are emitted as they are: no piece is lost, and a task's memory is bounded.
 BLOCK = 50_000
 HANDED_UP = 20_000
+#: Pieces of one Arrow batch.
+_BATCH = 20_000
 
 _MEMBER = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())])
 _BIN = pa.schema([("done", pa.bool_()), ("node", pa.int64()), ("bin", pa.int64()), ("fill", pa.int64()), ("members", pa.list_(_MEMBER))])
@@ -70,19 +74,28 @@ def _repack(items: list[tuple[int, list[dict]]], capacity: int) -> list[tuple[in
 
 
 def _settle(bins: list[tuple[int, list[dict]]], capacity: int, last: bool) -> tuple[list, list]:
-    """Bins to emit and bins to hand up."""
+    """Bins to emit and bins to hand up, the emptiest first while their pieces are not too many."""
     full = NEARLY_FULL * capacity
     done = [b for b in bins if last or b[0] >= full]
     rest = sorted((b for b in bins if not last and b[0] < full), key=lambda b: b[0])
-    return done + rest[HANDED_UP:], rest[:HANDED_UP]
-
-
-def _batch(bins: list[tuple[int, list[dict]]], done: bool, node: int, first: int) -> pa.RecordBatch:
-    n = len(bins)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([done] * n), pa.array([node] * n, pa.int64()), pa.array(range(first, first + n), pa.int64()), pa.array([b[0] for b in bins], pa.int64()), pa.array([b[1] for b in bins], pa.list_(_MEMBER))],
-        schema=_BIN,
-    )
+    room = bisect_right(list(accumulate(len(members) for _, members in rest)), HANDED_UP)
+    return done + rest[room:], rest[:room]
+
+
+def _batches(bins: list[tuple[int, list[dict]]], done: bool, node: int, first: int) -> Iterator[pa.RecordBatch]:
+    """Rows of bins numbered from ``first``, in batches of bounded pieces."""
+    at = 0
+    while at < len(bins):
+        end, pieces_in = at, 0
+        while end < len(bins) and (end == at or pieces_in + len(bins[end][1]) <= _BATCH):
+            pieces_in += len(bins[end][1])
+            end += 1
+        part, n = bins[at:end], end - at
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([done] * n), pa.array([node] * n, pa.int64()), pa.array(range(first + at, first + end), pa.int64()), pa.array([b[0] for b in part], pa.int64()), pa.array([b[1] for b in part], pa.list_(_MEMBER))],
+            schema=_BIN,
+        )
+        at = end
 
 
 def pieces(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int]]:
@@ -99,9 +112,8 @@ def _leaf(path: str, end_id: int, capacity: int):
 
         def emit(bins, done):
             nonlocal count
-            for at in range(0, len(bins), 2000):
-                yield _batch(bins[at : at + 2000], done, node, count)
-                count += len(bins[at : at + 2000])
+            yield from _batches(bins, done, node, count)
+            count += len(bins)
 
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
@@ -122,7 +134,7 @@ def _merge(capacity: int, fan: int, last: bool):
         rows = sorted(zip(group["node"].to_pylist(), group["bin"].to_pylist(), group["fill"].to_pylist(), group["members"].to_pylist(), strict=True), key=lambda r: r[:2])
         node = rows[0][0] // fan
         done, rest = _settle(_repack([(fill, members) for _, _, fill, members in rows], capacity), capacity, last)
-        return pa.Table.from_batches([_batch(done, True, node, 0), _batch(rest, False, node, len(done))], _BIN)
+        return pa.Table.from_batches([*_batches(done, True, node, 0), *_batches(rest, False, node, len(done))], _BIN)
 
     return run
 
