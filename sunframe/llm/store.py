@@ -90,7 +90,7 @@ class Merkle:
 
 def _cut_documents(path: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end, seen = end_id.to_bytes(4, "little"), set()
+        end, seen, tie = end_id.to_bytes(4, "little"), set(), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = [x + end for x in encoder(path).encode(batch.column(1).to_pylist())]
             starts = np.cumsum([0, *(len(x) // 4 for x in texts)])
@@ -116,9 +116,10 @@ def _cut_documents(path: str, end_id: int, width: int):
             many = pa.list_(pa.binary())
             roots = [Merkle(h).root() for h in recipes]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(starts)), pa.array(roots, pa.binary()), pa.array(recipes, many), pa.array(fresh, many), pa.array(payloads, many)],
-                ["doc_id", "n_tokens", "root", "hashes", "new", "payloads"],
+                [batch.column(0), pa.array(np.diff(starts)), pa.array(roots, pa.binary()), pa.array(recipes, many), pa.array(fresh, many), pa.array(payloads, many), pa.array(range(tie, tie + len(batch)), pa.int64())],
+                ["doc_id", "n_tokens", "root", "hashes", "new", "payloads", "tie"],
             )
+            tie += len(batch)
 
     return run
 
@@ -152,14 +153,16 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
 
     tokenizer = tokenizer or default_tokenizer()
     width = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    ddl = "doc_id long, n_tokens long, root binary, hashes array<binary>, new array<binary>, payloads array<binary>"
+    ddl = "doc_id long, n_tokens long, root binary, hashes array<binary>, new array<binary>, payloads array<binary>, tie long"
     spark, staging = docs.sparkSession, shared_path(docs.sparkSession, "store-staged")
     id_and_text(docs).mapInArrow(_cut_documents(tokenizer, end_id, width), ddl).write.options(**_FILES).parquet(staging)
     staged = spark.read.schema(ddl).parquet(staging)
     each = staged.select(F.explode(F.arrays_zip("new", "payloads")).alias("c")).select(F.col("c.new").alias("hash"), F.col("c.payloads").alias("payload"))
     once = each.dropDuplicates(["hash"]).withColumn("width", F.lit(width))
     once.write.options(**_FILES).parquet(f"{path}/chunks")
-    ordered = staged.select("doc_id", "n_tokens", "root", "hashes").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root")
+    # The tie cuts even a single doc_id that many rows share.
+    order = ("doc_id", "root", "tie")
+    ordered = staged.select("doc_id", "n_tokens", "root", "hashes", "tie").repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
     ordered.mapInArrow(_segments, _RECIPE_DDL).write.options(**_FILES).parquet(f"{path}/recipes")
     release(spark, staging)
 
