@@ -297,8 +297,9 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     keep = first.select(F.col("keep.id").alias("keep_id"), F.col("keep.text_hash").alias("keep_hash"))
     key, whole = fresh("row_id", docs.columns), fresh("row_hash", docs.columns)
     keyed = docs.withColumns({key: F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST_ID)), whole: F.xxhash64(text_column(docs))})
-    kept = keyed.join(keep, (keyed[key] == keep["keep_id"]) & (keyed[whole] == keep["keep_hash"]), "left_semi")
-    return kept.dropDuplicates([key, whole]).drop(key, whole)
+    # Repeats of a row go before the shuffle; the join then finds rows dealt by its own keys.
+    once = keyed.dropDuplicates([key, whole])
+    return once.join(keep, (once[key] == keep["keep_id"]) & (once[whole] == keep["keep_hash"]), "left_semi").drop(key, whole)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
