@@ -19,6 +19,7 @@ from sunframe.operators.split import chronological
 from sunframe.operators.thermal import relaxation, thermal_model
 from sunframe.plans.forecast import load, run
 from sunframe.plant import PV
+from sunframe.session import prepared
 from sunframe.sources.results import read_results, write_results
 from sunframe.sources.scratch import shared_path
 from sunframe.sources.telemetry import prune, resample, telemetry
@@ -38,8 +39,7 @@ def query(f: Query) -> Query:
     """Register under its own name, with the session in UTC."""
 
     def made(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return f(spark, sf_dir)
+        return f(prepared(spark), sf_dir)
 
     made.__doc__ = f.__doc__
     QUERIES[f.__name__] = made
