@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -11,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunframe.session import prepared
 from sunframe.sources.scratch import materialised as written
 from sunframe.sources.scratch import remove, shared_path
 
@@ -19,7 +19,6 @@ __all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "shared_pa
 #: Rows and bytes of one Arrow batch: bounds a worker's memory when texts are long.
 TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 2000, 32 << 20
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _UPPER = bytes(range(65, 91))
 ASCII_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 
@@ -28,11 +27,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches and let Python workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
-    return spark
+    return prepared(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
