@@ -292,8 +292,13 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     texts form one group. Columns of any name pass through.
     """
     rows, named = _components(docs, radius)
+    return keep_first(docs, rows.join(named, rows["fp"] == named["f"]))
+
+
+def keep_first(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The first row of ``docs`` of each ``root``; ``rooted`` has (doc_id, text_hash, root) of every row."""
     order = F.struct(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), F.col("text_hash"))
-    first = rows.join(named, rows["fp"] == named["f"]).groupBy("root").agg(F.min(order).alias("keep"))
+    first = rooted.groupBy("root").agg(F.min(order).alias("keep"))
     keep = first.select(F.col("keep.id").alias("keep_id"), F.col("keep.text_hash").alias("keep_hash"))
     key, whole = fresh("row_id", docs.columns), fresh("row_hash", docs.columns)
     keyed = docs.withColumns({key: F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST_ID)), whole: F.xxhash64(text_column(docs))})
