@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 
 import pyarrow.parquet as pq
 import pytest
@@ -132,6 +134,26 @@ def test_markov_models_tell_random_strings_from_identifiers():
     assert s.scan("an_ordinary_identifier_with_many_parts_2024 and Supercalifragilisticexpialidocious") == []
 
 
+@pytest.mark.parametrize("before", ["/users/password/reset/confirm/", "/static/documents/public/download/session/", "authorization_code=", "-" * 40, "directory_" * 5 + "entry_"])
+@pytest.mark.parametrize("after", ["", "/profile/settings/overview", "=" * 40])
+def test_ordinary_surroundings_hide_no_secret(before, after):
+    s, r = secrets.scanner(), random.Random(11)
+    for size, least in ((20, 0.9), (24, 0.95), (32, 0.97), (40, 0.97)):
+        found = 0
+        for _ in range(200):
+            text = f"x {before}{''.join(r.choices(string.ascii_letters + string.digits, k=size))}{after} y"
+            at = 2 + len(before)
+            spans = [(max(a, at), min(b, at + size)) for k, a, b in s.scan(text) if k == "markov"]
+            found += sum(b - a for a, b in spans if b > a) >= 0.7 * size
+        assert found >= least * 200, (size, found)
+    assert not s.scan(f"x {before}{after} y")
+
+
+def test_a_base_span_hides_no_secret_beside_it():
+    text = "0123456789abcdef0123456789abcdef_" + "Zx81kQp0Lm3Rt7Vb9Wc2Yd4EfQ"
+    assert [k for k, _, _ in secrets.scanner().scan(text)] == ["hex", "markov"]
+
+
 def test_secret_edges_and_redaction(spark):
     docs = edge_docs(spark)
     assert secrets.secret_scans(docs).count() == len(ROWS)
