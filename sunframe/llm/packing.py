@@ -1,8 +1,9 @@
 """Best-fit packing by hierarchical residual packing.
 
 Every partition packs its own pieces best-fit (longest first), emits bins that are nearly full and
-passes the rest on as items. Groups of partitions then pack those items again, level by level up
-a tree, until one group is left. Rows are bins with their members, so nothing is joined.
+hands up all others as items. Those of all partitions are packed at once by their sizes alone: the
+driver packs the number of items of each size, at most one number a token of the capacity, and
+every item finds its place by its size and its rank among the items of that size.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sunframe.llm.common import id_and_text, table, written
@@ -24,11 +26,11 @@ CAPACITY = 2048
 END_ID = 0
 #: A bin with at least this share of the capacity is emitted where it arises.
 NEARLY_FULL = 0.995
-#: Nodes that meet in one node of the next level.
+#: Kept for callers of ``pack``: there is one level above the partitions, whatever it says.
 FAN = 8
-#: Pieces packed at once in a partition, and pieces in the underfull bins that a node hands up. Beyond
-#: them the fullest bins are emitted as they are: no piece is lost, and a task's memory is bounded.
+#: New pieces that a partition packs at once, together with all its underfull bins so far.
 BLOCK = 50_000
+#: Bound of ``_settle`` alone, which ``pack`` no longer uses.
 HANDED_UP = 20_000
 #: Pieces of one Arrow batch.
 _BATCH = 20_000
@@ -74,7 +76,7 @@ def _repack(items: list[tuple[int, list[dict]]], capacity: int) -> list[tuple[in
 
 
 def _settle(bins: list[tuple[int, list[dict]]], capacity: int, last: bool) -> tuple[list, list]:
-    """Bins to emit and bins to hand up, the emptiest first while their pieces are not too many."""
+    """Bins to emit and bins to keep, the emptiest first while their pieces are not too many. ``pack`` keeps all."""
     full = NEARLY_FULL * capacity
     done = [b for b in bins if last or b[0] >= full]
     rest = sorted((b for b in bins if not last and b[0] < full), key=lambda b: b[0])
@@ -105,36 +107,91 @@ def pieces(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int]]:
         yield at // 4, len(part) // 4, zlib.crc32(part)
 
 
+def residual(items: Iterator[tuple[int, list[dict]]], capacity: int) -> Iterator[tuple[bool, list[tuple[int, list[dict]]]]]:
+    """(done, bins): nearly full bins as they arise, at the end all underfull ones by fill, as not done."""
+    held: list[tuple[int, list[dict]]] = []
+    full, fresh = NEARLY_FULL * capacity, 0
+    for item in items:
+        held.append(item)
+        fresh += 1
+        if fresh >= BLOCK:
+            bins = _repack(held, capacity)
+            yield True, [b for b in bins if b[0] >= full]
+            held, fresh = [b for b in bins if b[0] < full], 0
+    bins = _repack(held, capacity)
+    yield True, [b for b in bins if b[0] >= full]
+    yield False, sorted((b for b in bins if b[0] < full), key=lambda b: b[0])
+
+
+def best_fit_counts(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """``best_fit`` of many items, given the number of each size: (size, first rank, items, first bin, offset).
+
+    Items of one size are alike and known by rank. Bins with the same contents stay one entry, so the
+    work grows with the sizes and not with the items.
+    """
+    by_room: list[list[tuple[int, list[tuple[int, int]]]]] = [[] for _ in range(capacity + 1)]
+    rooms = 0  # bit r: some bin has room r
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+        while left:
+            fits = rooms >> size
+            if fits:
+                room = size + (fits & -fits).bit_length() - 1
+                bins, inside = by_room[room].pop()
+            else:
+                room, bins, inside = capacity, left, []
+            each = min(room // size, left)
+            taken = min(bins, left // each)
+            if fits and bins > taken:
+                by_room[room].append((bins - taken, [(s, first + taken) for s, first in inside]))
+            if fits and not by_room[room]:
+                rooms &= ~(1 << room)
+            by_room[room - each * size].append((taken, [*inside, *((size, rank + k * taken) for k in range(each))]))
+            rooms |= 1 << (room - each * size)
+            rank += each * taken
+            left -= each * taken
+    out, bin_ = [], 0
+    for group in by_room:
+        for bins, inside in group:
+            offset = 0
+            for size, first in inside:
+                out.append((size, first, bins, bin_, offset))
+                offset += size
+            bin_ += bins
+    return sorted(out)
+
+
 def _leaf(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, end, count = TaskContext.get().partitionId(), end_id.to_bytes(4, "little"), 0
-        items: list[tuple[int, list[dict]]] = []
 
-        def emit(bins, done):
-            nonlocal count
-            yield from _batches(bins, done, node, count)
-            count += len(bins)
+        def items():
+            for batch in batches:
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
+                    for k, (start, length, crc) in enumerate(pieces(ids + end, capacity)):
+                        yield length, [{"doc_id": doc_id, "piece": k, "start": start, "length": length, "ids_crc32": crc, "offset": 0}]
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
-                for k, (start, length, crc) in enumerate(pieces(ids + end, capacity)):
-                    items.append((length, [{"doc_id": doc_id, "piece": k, "start": start, "length": length, "ids_crc32": crc, "offset": 0}]))
-            if len(items) >= BLOCK:
-                done, items = _settle(_repack(items, capacity), capacity, False)
-                yield from emit(done, True)
-        done, rest = _settle(_repack(items, capacity), capacity, False)
-        yield from emit(done, True)
-        yield from emit(rest, False)
+        for done, bins in residual(items(), capacity):
+            if done:
+                yield from _batches(bins, True, node, count)
+                count += len(bins)
+            else:  # numbered anew for each fill
+                for _, same in groupby(bins, key=lambda b: b[0]):
+                    yield from _batches(list(same), False, node, 0)
 
     return run
 
 
-def _merge(capacity: int, fan: int, last: bool):
-    def run(group: pa.Table) -> pa.Table:
-        rows = sorted(zip(group["node"].to_pylist(), group["bin"].to_pylist(), group["fill"].to_pylist(), group["members"].to_pylist(), strict=True), key=lambda r: r[:2])
-        node = rows[0][0] // fan
-        done, rest = _settle(_repack([(fill, members) for _, _, fill, members in rows], capacity), capacity, last)
-        return pa.Table.from_batches([*_batches(done, True, node, 0), *_batches(rest, False, node, len(done))], _BIN)
+def _place(plan: list[tuple[int, int, int, int, int]]):
+    """For items (fill, rank, members): the bin, and the members with their offsets in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, first, _, bin_, offset = np.array(plan, np.int64).reshape(-1, 5).T
+        keys = (size << 44) + first
+        for batch in batches:
+            fill, rank = (batch.column(k).to_numpy() for k in (0, 1))
+            at = np.searchsorted(keys, (fill << 44) + rank, "right") - 1
+            arrays = [pa.array(bin_[at] + rank - first[at]), pa.array(offset[at]), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(arrays, ["bin", "shift", "members"])
 
     return run
 
@@ -144,25 +201,21 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
 
     A document is its ids and ``end_id``; null and empty texts are the end id alone. Documents over
     ``capacity`` tokens are cut into pieces of that many; no other is cut. Rows with null or repeated
-    ids are packed like any other. An empty table gives no rows.
+    ids are packed like any other. An empty table gives no rows. ``fan`` changes nothing.
     """
-    level, outputs = 0, []
+    members = _DDL[_DDL.index("members") :]
     bins = written(id_and_text(docs).mapInArrow(_leaf(tokenizer or default_tokenizer(), end_id, capacity), _DDL), "packing-0")
-    while True:
-        outputs.append(bins.filter("done").withColumn("level", F.lit(level).cast("long")))
-        rest = bins.filter("not done")
-        top = rest.agg(F.max("node")).first()[0]
-        if top is None:
-            break
-        level += 1
-        grouped = rest.groupBy(F.expr(f"node div {fan}").alias("parent"))
-        bins = written(grouped.applyInArrow(_merge(capacity, fan, top < fan), _DDL), f"packing-{level}")
-    every = outputs[0]
-    for more in outputs[1:]:
-        every = every.unionByName(more)
-    name = F.shiftleft("level", 58) + F.shiftleft("node", 32) + F.col("bin")
-    flat = every.select(name.alias("sequence_id"), F.explode("members").alias("m"))
-    return flat.select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset")
+    rest = bins.filter("not done")
+    counts = written(rest.groupBy("fill", "node").agg(F.count(F.lit(1)).alias("items")), "packing-counts")
+    plan = best_fit_counts({r["fill"]: r["items"] for r in counts.groupBy("fill").agg(F.sum("items").alias("items")).collect()}, capacity)
+    earlier = F.sum("items").over(Window.partitionBy("fill").orderBy("node")) - F.col("items")
+    ranked = rest.join(counts.select(F.col("fill").alias("f"), F.col("node").alias("n"), earlier.alias("earlier")), (F.col("fill") == F.col("f")) & (F.col("node") == F.col("n")))
+    placed = ranked.select("fill", (F.col("earlier") + F.col("bin")).alias("rank"), "members").mapInArrow(_place(plan), f"bin long, shift long, {members}")
+    name = F.shiftleft("node", 32) + F.col("bin")
+    own = bins.filter("done").select(name.alias("sequence_id"), F.lit(0).cast("long").alias("shift"), "members")
+    every = own.unionByName(placed.select((F.lit(1 << 58) + F.col("bin")).alias("sequence_id"), "shift", "members"))
+    flat = every.select("sequence_id", "shift", F.explode("members").alias("m"))
+    return flat.select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", (F.col("m.offset") + F.col("shift")).alias("offset"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -221,6 +221,44 @@ def test_bounds_of_a_node_lose_nothing(spark, monkeypatch):
     assert sorted(m["doc_id"] for _, ms in done + rest for m in ms) == list(range(9))
 
 
+def test_documents_clustered_by_length_pack_as_tightly_as_mixed_ones(monkeypatch):
+    """The long half first: each of its bins is underfull until the short half comes, more than any bound of pieces."""
+    monkeypatch.setattr(packing, "BLOCK", 1000)
+    monkeypatch.setattr(packing, "HANDED_UP", 400)
+    r = random.Random(2)
+    for a, b, c, d in ((1100, 1500, 500, 900), (700, 1000, 50, 300)):
+        sizes = [r.randint(a, b) for _ in range(1000)] + [r.randint(c, d) for _ in range(1000)]
+        parts = list(packing.residual(((n, [{"doc_id": i, "offset": 0}]) for i, n in enumerate(sizes)), 2048))
+        rest = Counter(fill for done, bins in parts for fill, _ in bins if not done)
+        used = sum(len(bins) for done, bins in parts if done) + len(bins_of(packing.best_fit_counts(rest, 2048)))
+        assert sorted(m["doc_id"] for _, bins in parts for _, ms in bins for m in ms) == list(range(2000))
+        assert used <= 1.035 * len(packing.best_fit(sizes, 2048))
+
+
+def bins_of(plan):
+    """The (offset, size, rank) in each bin of a plan."""
+    bins: dict[int, list] = {}
+    for size, first, n, at, offset in plan:
+        for k in range(n):
+            bins.setdefault(at + k, []).append((offset, size, first + k))
+    return bins
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=200))
+def test_best_fit_by_counts_is_best_fit(sizes):
+    counts = Counter(sizes)
+    bins = bins_of(packing.best_fit_counts(counts, 50))
+    assert sorted((s, k) for inside in bins.values() for _, s, k in inside) == sorted((s, k) for s, n in counts.items() for k in range(n))
+    for inside in bins.values():
+        end = 0
+        for offset, size, _ in sorted(inside):
+            assert offset == end
+            end += size
+        assert end <= 50
+    assert sorted(sum(s for _, s, _ in inside) for inside in bins.values()) == sorted(sum(sizes[i] for i in b) for b in packing.best_fit(sizes, 50))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_fit(sizes):
