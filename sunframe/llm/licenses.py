@@ -115,13 +115,23 @@ class LicenseScanner:
         for number, ranges in self._windows(joined).items():
             notice, label, _, pattern = self._notices[number]
             for low, high in ranges:
-                for m in pattern.finditer(joined, low, high):
+                for m in _hits(pattern, joined, low, high):
                     first = joined.count(" ", 0, m.start() + 1) - 1
                     end = joined.count(" ", 0, m.end()) - (joined[m.end() - 1] == " ")
                     spans[label, max(0, first), end, sum(m.fuzzy_counts)] = len(notice)
         return spans
 
 
+def _hits(pattern, joined: str, low: int, high: int):
+    """The best match of the range, and those of what is left before and after it."""
+    ranges = [(low, high)]
+    while ranges:
+        low, high = ranges.pop()
+        if m := pattern.search(joined, low, high):
+            yield m
+            ranges += [(low, m.start()), (m.end(), high)]
+
+
 _SCANNERS: dict[int, LicenseScanner] = {}
 
 

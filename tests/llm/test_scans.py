@@ -134,6 +134,14 @@ def test_markov_models_tell_random_strings_from_identifiers():
     assert s.scan("an_ordinary_identifier_with_many_parts_2024 and Supercalifragilisticexpialidocious") == []
 
 
+def test_an_edited_notice_before_an_exact_one_is_found():
+    for notice, label in licenses.NOTICES:
+        edited = notice[:-3] + ("x" if notice[-3] != "x" else "y") + notice[-2:]
+        for text, edits in ((f"{edited} {notice}", [1, 0]), (f"{notice} {edited}", [0, 1]), (f"{edited} {notice} {edited}", [1, 0, 1])):
+            spans = licenses.scanner().scan(text).spans
+            assert [s[3] for s in spans if s[0] == label and s[2] - s[1] == len(notice.split())] == edits, (notice, spans)
+
+
 @pytest.mark.parametrize("before", ["/users/password/reset/confirm/", "/static/documents/public/download/session/", "authorization_code=", "-" * 40, "directory_" * 5 + "entry_"])
 @pytest.mark.parametrize("after", ["", "/profile/settings/overview", "=" * 40])
 def test_ordinary_surroundings_hide_no_secret(before, after):
