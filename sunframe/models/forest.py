@@ -19,13 +19,13 @@ class ForestForecaster:
         self.inputs, self.models = list(inputs), list(models)
 
     @classmethod
-    def fit(cls, train: DataFrame, inputs: Sequence[str], outputs: Sequence[str], settings: dict[str, Any], depth: int = 12) -> ForestForecaster:
+    def fit(cls, train: DataFrame, inputs: Sequence[str], outputs: Sequence[str], settings: dict[str, Any]) -> ForestForecaster:
         """All steps are fitted at once from one assembled, cached frame."""
         vectors = VectorAssembler(inputCols=list(inputs), outputCol="_x").transform(train).select("_x", *outputs).cache()
         single = settings["n_trees"] == 1
 
         def one(y: str) -> RandomForestRegressionModel:
-            rf = RandomForestRegressor(featuresCol="_x", labelCol=y, numTrees=settings["n_trees"], seed=settings["random_state"], maxDepth=depth, featureSubsetStrategy="all", bootstrap=not single, predictionCol=f"_{y}")
+            rf = RandomForestRegressor(featuresCol="_x", labelCol=y, numTrees=settings["n_trees"], seed=settings["random_state"], maxDepth=settings["max_depth"], featureSubsetStrategy="all", bootstrap=not single, predictionCol=f"_{y}")
             return rf.fit(vectors)
 
         with ThreadPoolExecutor(4) as pool:

@@ -191,3 +191,12 @@ def test_raw_tables_are_normalised_and_filters_pushed(spark, tmp_path):
     plan = part.select("p_solar")._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(ts" in plan and "ReadSchema: struct<ts:timestamp,p_solar:double>" in plan.replace("ghi:double,", "ghi:double,")
     assert F.col("x") is not None
+
+
+def test_trees_grow_to_the_depth_that_is_set(spark):
+    """Of targets that quadruple, each split takes off the largest."""
+    df = spark.createDataFrame([(float(i), 4.0**i) for i in range(20)], "x double, y double")
+    deep = ForestForecaster.fit(df, ["x"], ["y"], HYPER["RF"])
+    assert deep.models[0].trees[0].depth == 19
+    assert ForestForecaster.fit(df, ["x"], ["y"], HYPER["RF"] | {"max_depth": 4}).models[0].trees[0].depth == 4
+    assert ForecastConfig(model="RF", hyper={"max_depth": 7}).settings["max_depth"] == 7
