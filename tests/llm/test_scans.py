@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -126,14 +128,121 @@ def test_secret_base_of_edges(text):
 def test_markov_models_tell_random_strings_from_identifiers():
     s = secrets.SecretScanner()
     fresh = secrets.labelled_samples(2000, seed=99)
-    caught = sum(any(k == "markov" or k in ("access", "hex") for k, _, _ in s.scan(x)) for x in fresh[0])
-    wrong = sum(bool(s.scan(x)) for x in fresh[1])
-    assert caught > 0.95 * len(fresh[0]) and wrong < 0.01 * len(fresh[1])
+    random_ones, plain, uuids = ([x for label, x in fresh if label == k] for k in ("secret", "identifier", "uuid"))
+    caught = sum(bool(s.scan(x)) for x in random_ones)
+    assert caught > 0.95 * len(random_ones)
+    assert sum(bool(s.scan(x)) for x in plain) < 0.01 * len(plain) and sum(bool(s.scan(x)) for x in uuids) < 0.01 * len(uuids)
     assert s.recall > 0.95
     assert [k for k, _, _ in s.scan("key Zx81kQp0Lm3Rt7Vb9Wc2Yd4Ef end")] == ["markov"]
     assert s.scan("an_ordinary_identifier_with_many_parts_2024 and Supercalifragilisticexpialidocious") == []
 
 
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters, string.ascii_letters + string.digits, "0123456789ABCDEF"])
+def test_secrets_of_letters_alone_and_anywhere_in_long_runs_are_found(alphabet):
+    s, r, around = secrets.scanner(), random.Random(3), "directory_entry_" * 20
+    for size in (20, 24, 32, 40):
+        alone = sum(bool(s.secrets("".join(r.choices(alphabet, k=size)))) for _ in range(300))
+        inside = 0
+        for _ in range(300):
+            at = r.randrange(200)
+            run = around[:at] + "".join(r.choices(alphabet, k=size)) + around[: r.randrange(200)]
+            inside += any(min(b, at + size) - max(a, at) >= 0.7 * size for a, b in s.secrets(run))
+        assert alone >= 0.95 * 300 and inside >= 0.95 * 300, (size, alone, inside)
+
+
+def brute_segment(steps):
+    """The best contiguous part by looking at all of them."""
+    best = (0.0, 0, 0)
+    for end in range(1, len(steps) + 1):
+        for start in range(end - 1, -1, -1):
+            total = math.fsum(steps[start:end])
+            if total > best[0] + 1e-9:
+                best = (total, start, end)
+    return best
+
+
+def brute_stretches(steps, least, low=0):
+    total, a, b = brute_segment(steps)
+    if total <= least:
+        return []
+
+    def cut(x, y):
+        fall, p, q = brute_segment([-v for v in steps[x:y]])
+        if fall >= secrets.LEAST_SCORE:
+            return cut(x, x + p) + cut(x + q, y)
+        return [(low + x, low + y)] if y - x >= secrets.LEAST_STRETCH and math.fsum(steps[x:y]) > least else []
+
+    return brute_stretches(steps[:a], least, low) + cut(a, b) + brute_stretches(steps[b:], least, low + b)
+
+
+def test_stretches_equal_a_search_of_all_segments():
+    r = np.random.default_rng(12)
+    some = 0
+    for _ in range(120):
+        steps = r.normal(r.choice([-0.6, -0.2, 0.3]), 2.0, r.integers(1, 70)) + np.repeat(r.choice([-2.0, 0.0, 2.0], 7), 10)[: r.integers(1, 2)]
+        steps = steps + 2.5 * np.sin(np.arange(len(steps)) / r.uniform(2, 9))
+        got = [(a, b) for _, a, b in secrets.stretches(steps, 12.0)]
+        assert got == brute_stretches(steps.tolist(), 12.0)
+        some += len(got)
+    assert some > 60
+
+
+def brute_markov(text, s):
+    """Markov spans of a text by the definition: candidate runs less base spans, the best stretches of all chains first."""
+    base = [(int(a), int(b)) for a, b in (x.split(":")[1:] for x in brute_secrets(text))]
+    spans = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        free = [i for i in range(*m.span()) if not any(a <= i < b for a, b in base)]
+        parts = []
+        for i in free:
+            if parts and parts[-1][-1] == i - 1:
+                parts[-1].append(i)
+            else:
+                parts.append([i])
+        for part in parts:
+            steps, found = s.steps(text[part[0] : part[-1] + 1]), []
+            for row in steps:
+                found += [(-math.fsum(row[a:b]), a, b) for a, b in brute_stretches(row.tolist(), s.threshold)]
+            used: set[int] = set()
+            for _, a, b in sorted(found):
+                if not used & set(range(a, b)):
+                    used |= set(range(a, b))
+                    spans.append((part[0] + a, part[0] + b))
+    return sorted(spans)
+
+
+def test_markov_spans_of_texts_equal_brute_force():
+    # Two chains, so that the plain search of all segments stays quick.
+    samples = [(k, x) for k, x in secrets.labelled_samples(900) if k != "uuid" and (k != "secret" or not x.isalpha())]
+    s, r = secrets.SecretScanner(samples), random.Random(21)
+    found = 0
+    for _ in range(25):
+        parts = [r.choice(["an_ordinary_name_of_a_thing", "token=" + "x" * r.randint(3, 9), "".join(r.choices(string.ascii_letters + string.digits, k=r.randint(18, 30))), "/", " ", "0123456789abcdef" * 2, "----"]) for _ in range(r.randint(2, 5))]
+        text = "".join(parts)
+        got = [(a, b) for k, a, b in s.scan(text) if k == "markov"]
+        assert got == brute_markov(text, s), text
+        found += len(got)
+    assert found > 10
+
+
+def test_labelled_samples_of_a_table_teach(spark):
+    docs = spark.createDataFrame([(1, "order ref QJXKWVZQ-QXJKVWZQ-XJQKZWVQ here")], "doc_id long, text string")
+    assert "markov" in secrets.secret_scans(docs).first()["spans"]
+    r = random.Random(2)
+    refs = [("order", "-".join("".join(r.choices("QJXKWVZ", k=8)) for _ in range(3))) for _ in range(400)]
+    table = spark.createDataFrame([*refs, (None, "x"), ("secret", None)], "label string, text string")
+    assert secrets.secret_scans(docs, table).first()["spans"] == ""
+
+
+def test_a_corpus_teaches_its_own_words(spark):
+    r = random.Random(6)
+    words = ["".join(r.choices(["zqu", "xov", "wyk", "jib", "vlo"], k=4)) for _ in range(300)]
+    rows = [(i, " ".join(r.choices(words, k=40)) + " " + "_".join(r.choices(words, k=3))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sum(bool(secrets.scanner().scan(t)) for _, t in rows) > 20
+    assert sum(x["spans"] != "" for x in secrets.secret_scans(docs).collect()) <= 2
+
+
 def test_an_edited_notice_before_an_exact_one_is_found():
     for notice, label in licenses.NOTICES:
         edited = notice[:-3] + ("x" if notice[-3] != "x" else "y") + notice[-2:]
