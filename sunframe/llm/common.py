@@ -14,11 +14,14 @@ from sunframe.session import prepared
 from sunframe.sources.scratch import materialised as written
 from sunframe.sources.scratch import remove, shared_path
 
-__all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "shared_path", "table", "text_column", "text_filter", "written"]
+__all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "remove", "shared_path", "spread_join", "table", "text_column", "text_filter", "written"]
 
 #: Rows and bytes of one Arrow batch: bounds a worker's memory when texts are long.
 TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 2000, 32 << 20
 
+#: A key is hot with over so many rows, and over one row in so many: so there are never more hot keys than the latter.
+HOT_ROWS, HOT_KEYS = 1_000_000, 10_000
+
 _UPPER = bytes(range(65, 91))
 ASCII_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 
@@ -80,3 +83,26 @@ def text_filter(docs: DataFrame, make: Callable[[], Callable[[list[str | None]],
 
 def text_column(docs: DataFrame) -> Column:
     return docs["text"].cast("string")
+
+
+def spread_join(many: DataFrame, one: DataFrame, on: dict[str, str], how: str = "inner", salt: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``many.join(one)`` where columns of ``many`` equal those of ``one`` (``on``), whatever share of ``many`` one key holds.
+
+    Rows of a hot key are dealt to parts by ``salt`` (a hash of all columns unless given) and the rows of
+    ``one`` with it are copied to every part. ``many`` should be a written table: it is counted first.
+    The two must have no column names in common; ``how`` is inner or left.
+    """
+    limit = max(hot_rows, many.count() // HOT_KEYS)
+    part, parts, copy = (fresh(n, [*many.columns, *one.columns]) for n in ("salt_part", "salt_parts", "salt_copy"))
+    keys = list(on)
+    hot = many.groupBy(*keys).count().filter(F.col("count") > limit)
+    hot = written(hot.select(*[F.col(k).alias(f"hot_{i}") for i, k in enumerate(keys)], F.ceil(F.col("count") / limit).cast("int").alias(parts)), "hot-keys")
+    if hot.isEmpty():
+        return many.join(one, [many[a] == one[b] for a, b in on.items()], how)
+    hot = F.broadcast(hot)  # at most HOT_KEYS rows
+    dealt = F.pmod(F.xxhash64(*many.columns) if salt is None else salt, F.coalesce(F.col(parts), F.lit(1)).cast("long")).cast("int")
+    left = many.join(hot, [many[k] == F.col(f"hot_{i}") for i, k in enumerate(keys)], "left").select(*many.columns, dealt.alias(part))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1))
+    right = one.join(hot, [one[b] == F.col(f"hot_{i}") for i, b in enumerate(on.values())], "left").select(*one.columns, copies.alias(copy))
+    met = left.join(right, [*[left[a] == right[b] for a, b in on.items()], left[part] == right[copy]], how)
+    return met.drop(part, copy)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import table, written
+from sunframe.llm.common import spread_join, table, written
 from sunframe.llm.components import connected_components
 
 #: Verdict and rule (host and path).
@@ -27,8 +27,8 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-#: Rules that may be written into one expression.
-MOST_RULES = 1000
+#: Rules that are written into one expression; more, or a table of them, are joined.
+SHORT = 64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HOST = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -44,9 +44,7 @@ def path_of(url: Column) -> Column:
 
 
 def _first_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
-    """The longest rule that fits, and its verdict; of equal ones an allow comes first."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"at most {MOST_RULES} rules fit one expression")
+    """The longest rule of a short list that fits, and its verdict; of equal ones an allow comes first."""
     rule = verdict = None
     for what, text in sorted(rules, key=lambda r: (-len(r[1]), r)):
         own, slash, rest = text.partition("/")
@@ -57,6 +55,44 @@ def _first_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return (none, none) if rule is None else (rule, verdict)
 
 
+def _rule_table(rules: DataFrame) -> DataFrame:
+    """``own, prefix, rule, what``: each rule once, an allow before a block; null rules and verdicts are none."""
+    rows = rules.select(F.col("verdict").cast("string").alias("what"), F.col("rule").cast("string").alias("rule")).na.drop()
+    own = F.substring_index("rule", "/", 1)
+    rows = rows.groupBy("rule").agg(F.min("what").alias("what"))
+    return rows.select(own.alias("own"), F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 1)").alias("prefix"), "rule", "what")
+
+
+def ruled(rows: DataFrame, rules) -> DataFrame:
+    """``rows`` (with ``host`` and ``path``) and the ``rule`` that fits each best and its verdict, ``own``; null without one.
+
+    A short list is one expression. Others are a table: each distinct host is looked up by its suffixes
+    for the lengths of paths that its rules have, each distinct URL then by the heads of its path of these
+    lengths, so that the work of a URL does not grow with the number of rules.
+    """
+    if not isinstance(rules, DataFrame):
+        rules = list(rules)
+        if len(rules) <= SHORT:
+            rule, own = _first_rule(F.col("host"), F.col("path"), rules)
+            return rows.withColumns({"rule": rule, "own": own})
+        rules = rows.sparkSession.createDataFrame([(what, text) for what, text in rules], "verdict string, rule string")
+    listed = written(_rule_table(rules), "url-rules")
+    lengths = listed.select("own", F.length("prefix").alias("n")).distinct()
+    rows = written(rows, "url-rows")
+    named = rows.select("host", "path").distinct()
+    hosts = named.select("host").distinct()
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(F.split("host", r"\."))), lambda i: F.call_function("substring_index", F.col("host"), F.lit("."), -i))
+    asked = written(hosts.select(F.col("host").alias("of"), F.explode(suffixes).alias("suffix")), "url-suffixes")
+    met = spread_join(asked, lengths, {"suffix": "own"}).select("of", "suffix", "n")
+    met = met.groupBy("of").agg(F.collect_set(F.struct("suffix", "n")).alias("tries"))  # labels of a host by lengths of paths
+    urls = spread_join(written(named, "url-named"), met, {"host": "of"}).select("host", "path", F.explode("tries").alias("t"))
+    heads = urls.filter(F.length("path") >= F.col("t.n")).select("host", "path", F.col("t.suffix").alias("suffix"), F.expr("substring(path, 1, t.n)").alias("head"))
+    hits = spread_join(written(heads, "url-heads"), listed, {"suffix": "own", "head": "prefix"})
+    best = hits.groupBy("host", "path").agg(F.min(F.struct(-F.length("rule"), "what", "rule")).alias("b"))
+    best = best.select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("b.rule").alias("rule"), F.col("b.what").alias("own"))
+    return spread_join(rows, best, {"host": "h", "path": "p"}, "left").drop("h", "p")
+
+
 def node_of(url: Column) -> Column:
     """What stands for a URL in the graph: scheme and host in lower case, ``/`` for an empty path, no empty query, no fragment; null without a host."""
     bare = F.regexp_replace(url, r"(?s)#.*", "")
@@ -110,27 +146,31 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) ->
     """``page_id, host, path, rule, verdict`` of every row of ``pages``.
 
     A page's own rule decides. A page without one is blocked if any URL of its component, on the table
-    or only named by a link, is blocked by a rule; else it is allowed. ``redirects`` (``source``,
-    ``target``) adds observed redirects to the links that pages hold. Null URLs and those without
-    ``://`` have no host, no rule and no aliases, and are allowed. Repeated rows each stay.
+    or only named by a link, is blocked by a rule; else it is allowed. ``rules`` are (verdict, rule) pairs
+    or a table with columns ``verdict`` and ``rule``, of any number; of equal rules an allow comes first.
+    ``redirects`` (``source``, ``target``) adds observed redirects to the links that pages hold. Null URLs
+    and those without ``://`` have no host, no rule and no aliases, and are allowed; null pages name no
+    aliases; long URLs and pages are read whole. Rows with null or repeated ids are judged by their URL,
+    repeated rows each stay, other columns do not matter, and an empty table gives no rows.
     """
     edges = alias_edges(pages)
     if redirects is not None:
         edges = edges.unionByName(_edges(redirects.select(F.col("source").cast("string"), F.col("target").cast("string"))))
     found = connected_components(edges)
-    _, verdict = _first_rule(host_of(F.col("node")), path_of(F.col("node")), rules)
-    blocked = found.filter(verdict == "block").select(F.col("root").alias("bad")).distinct()
-    aliases = found.join(blocked, found["root"] == blocked["bad"], "left_semi").select(F.col("node").alias("alias"))
-    aliases = written(aliases, "url-aliases")
+    judged = ruled(found.select("node", "root", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path")), rules)
+    judged = written(judged.select("node", "root", "own"), "url-nodes")
+    blocked = written(judged.filter("own = 'block'").select(F.col("root").alias("bad")).distinct(), "url-blocked")
+    aliases = written(spread_join(judged, blocked, {"root": "bad"}).select(F.col("node").alias("alias")), "url-aliases")
     url = F.col("url").cast("string")
-    rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node"))
-    rule, own = _first_rule(F.col("host"), F.col("path"), rules)
-    joined = rows.withColumns({"rule": rule, "own": own}).join(aliases, F.col("node") == F.col("alias"), "left")
+    rows = ruled(pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node")), rules)
+    # An alias counts only for a page without a rule; a node stands once in ``aliases``.
+    joined = rows.join(aliases, F.when(F.col("own").isNull(), F.col("node")) == F.col("alias"), "left")
     spread = F.when(F.col("alias").isNotNull(), "block").otherwise("allow")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("own", spread).alias("verdict"))
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given pages hold no canonical link and no refresh: there verdicts come from the rules alone."""
     return judge(table(spark, sf_dir, "pages"))
 
 

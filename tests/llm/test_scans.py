@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from sunframe.llm import licenses, secrets, urls
+from sunframe.llm import common, licenses, secrets, urls
 from tests.conftest import SF_LARGER
 from tests.llm.edges import EXTRA, ROWS, SECRET, edge_docs, no_docs
 
@@ -358,6 +358,56 @@ def test_sql_closes_over_aliases_too(spark):
     assert got == want and [r[4] for r in got] == ["block", "block", "allow", "allow"]
 
 
-def test_too_many_rules_are_refused(spark):
-    with pytest.raises(ValueError, match="rules"):
-        urls.judge(spark.createDataFrame(PAGES, "page_id long, url string, html string"), rules=[("block", f"h{i}/") for i in range(urls.MOST_RULES + 1)])
+def brute_verdict(url, rules):
+    host, path, _, _ = brute_rule(url)
+    if not host:
+        return None, None
+    best = None
+    for suffix in [host.split(".", k)[k] for k in range(host.count(".") + 1)]:
+        for n in range(len(path) + 1):
+            for what in ("allow", "block"):
+                if (what, suffix + path[:n]) in rules and (best is None or len(suffix) + n > len(best[0])):
+                    best = (suffix + path[:n], what)
+    return best or (None, None)
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 5])
+def test_a_hundred_thousand_rules_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_KEYS", 1_000_000_000)
+    monkeypatch.setattr(common.spread_join, "__defaults__", ("inner", None, hot))
+    r = random.Random(17)
+    words = ["a", "b", "news", "shop", "en", "de", "x1"]
+
+    def host():
+        return ".".join(r.choices(words, k=r.randint(1, 3))) + r.choice([".com", ".org", ".net"])
+
+    rules = {(r.choice(["allow", "block"]), f"h{i}.com/{i % 7}") for i in range(100_000)}
+    rules |= {(r.choice(["allow", "block"]), host() + r.choice(["", "/", "/en", "/en/1", "/de/"])) for _ in range(400)} | {("block", "org/"), ("allow", "org/"), ("allow", "org")}
+    pages = [(i, r.choice(["http://", "HTTPS://", "", "x://"]) + host().upper() + r.choice(["", "/", "/en/1?q", "/de/x#y", "/en"]), "") for i in range(300)]
+    pages += [(1000 + i, f"http://www.h{i * 300}.com/{i % 7}/z", None) for i in range(100)] + [(None, None, None), (7, "http://a.com/en", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    table = spark.createDataFrame([*rules, (None, "x.com/"), ("block", None)], "verdict string, rule string")
+    got = sorted((str(x["page_id"]), x["host"], x["path"], str(x["rule"]), x["verdict"]) for x in urls.judge(df, table).collect())
+    want = []
+    for i, url, _ in pages:
+        found, what = brute_verdict(url, rules)
+        want.append((str(i), *brute_rule(url)[:2], str(found), what or "allow"))
+    assert got == sorted(want)
+    some = [*rules][:200]
+    assert urls.judge(df, some).exceptAll(urls.judge(df, spark.createDataFrame(some, "verdict string, rule string"))).isEmpty()
+
+
+def test_long_rule_lists_spread_over_aliases_too(spark):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    long = [*urls.RULES, *(("block", f"h{i}.example/") for i in range(100))]
+    assert sorted(map(str, urls.judge(df, long).collect())) == sorted(map(str, urls.judge(df).collect()))
+    assert urls.judge(df.limit(0), long).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_joins_of_hot_keys_lose_nothing(spark, monkeypatch, how):
+    monkeypatch.setattr(common, "HOT_KEYS", 1_000_000_000)
+    many = spark.range(300).selectExpr("id", "if(id % 3 = 0, 7, id % 20) as k").union(spark.sql("select 999L, null"))
+    one = spark.range(0, 15).selectExpr("id as key", "id * 10 as v").union(spark.sql("select 3L, 31L"))
+    want = sorted(map(str, many.join(one, many["k"] == one["key"], how).collect()))
+    assert sorted(map(str, common.spread_join(many, one, {"k": "key"}, how, hot_rows=9).collect())) == want
