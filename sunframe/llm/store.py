@@ -4,28 +4,32 @@ A rolling hash over the ids cuts every document's stream where its content says
 passages give equal chunks wherever they stand. The store keeps
 
 * ``chunks``: ``hash`` (BLAKE2b, 16 bytes) and ``payload`` (ids, little-endian, 2 bytes each if the
-  vocabulary allows, else 4), every distinct chunk once;
+  vocabulary allows, else 4), every distinct chunk once, in buckets by hash, whose number ``layout`` holds;
 * ``recipes``: in ascending doc_id order, one row a document with the hashes of its chunks, the ids
   before it in its segment and the Merkle root of its chunks; after a segment's documents, a manifest
   row with their number, their ids and the Merkle root of their roots.
 
 The files are Parquet, so any file system that Spark can write will do. Reading back verifies every
 chunk against its hash, every document against its root and length, and every segment against its manifest.
+As chunks lie in buckets by hash, recipes come to them: payloads move once, to their documents.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import id_and_text, release, shared_path, table
+from sunframe.llm.common import HOT_KEYS, id_and_text, prepare, release, shared_path, table, written
 from sunframe.llm.encoding import default_tokenizer, encoder
 
 END_ID = 2
@@ -35,6 +39,10 @@ LEAST, AVERAGE, MOST = 64, 256, 2048
 WINDOW = 16
 #: Chunk hashes that a task remembers as already handed on.
 _SEEN = 500_000
+#: Bytes of payloads that a bucket of chunks should hold at most; uses of a chunk that one task hands out at most.
+BUCKET_BYTES, MOST_USES = 256 << 20, 10_000
+#: Bytes of rebuilt ids in one batch, but for a longer document.
+_OUT_BYTES = 16 << 20
 _MIX, _STEP = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
@@ -154,12 +162,17 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     tokenizer = tokenizer or default_tokenizer()
     width = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     ddl = "doc_id long, n_tokens long, root binary, hashes array<binary>, new array<binary>, payloads array<binary>, tie long"
-    spark, staging = docs.sparkSession, shared_path(docs.sparkSession, "store-staged")
+    spark, staging = prepare(docs.sparkSession), shared_path(docs.sparkSession, "store-staged")
     id_and_text(docs).mapInArrow(_cut_documents(tokenizer, end_id, width), ddl).write.options(**_FILES).parquet(staging)
     staged = spark.read.schema(ddl).parquet(staging)
+    ids = staged.agg(F.sum("n_tokens")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-ids * width // BUCKET_BYTES))
     each = staged.select(F.explode(F.arrays_zip("new", "payloads")).alias("c")).select(F.col("c.new").alias("hash"), F.col("c.payloads").alias("payload"))
-    once = each.dropDuplicates(["hash"]).withColumn("width", F.lit(width))
-    once.write.options(**_FILES).parquet(f"{path}/chunks")
+    # Dealt as the buckets are, so that the rows that are once only need no second exchange and a bucket is one file.
+    once = each.repartition(buckets, "hash").dropDuplicates(["hash"]).withColumn("width", F.lit(width))
+    with _as_table(spark) as name:
+        once.write.options(**_FILES).option("path", f"{path}/chunks").bucketBy(buckets, "hash").saveAsTable(name)
+    spark.range(1).select(F.lit(buckets).cast("int").alias("buckets")).write.parquet(f"{path}/layout")
     # The tie cuts even a single doc_id that many rows share.
     order = ("doc_id", "root", "tie")
     ordered = staged.select("doc_id", "n_tokens", "root", "hashes", "tie").repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
@@ -172,21 +185,41 @@ _FILES = {"compression": "zstd", "parquet.enable.dictionary": "false"}
 _CHUNK_DDL = "hash binary, payload binary, width int"
 
 
-def _verified(payload_out: bool):
-    """Chunks that match their hash; with their ids, or with the number and the CRC-32 of these."""
+@contextmanager
+def _as_table(spark: SparkSession) -> Iterator[str]:
+    """A table name that is free; the catalogue forgets it afterwards, the files stay."""
+    name = f"store_chunks_{uuid.uuid4().hex}"
+    try:
+        yield name
+    finally:
+        spark.sql(f"drop table if exists {name}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes, crcs = [], []
-            for digest, payload, width in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if blake2b(payload, digest_size=16).digest() != digest:
-                    raise ValueError(f"chunk {digest.hex()} does not match its hash")
-                if not payload_out:
-                    sizes.append(len(payload) // width)
-                    crcs.append(zlib.crc32(payload if width == 4 else np.frombuffer(payload, "<u2").astype("<u4").tobytes()))
-            yield b if payload_out else pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())], ["hash", "size", "crc"])
 
-    return run
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of a store; where ``layout`` is there they are known to lie in buckets by hash."""
+    try:
+        layout = spark.read.schema("buckets int").parquet(f"{path}/layout")
+    except AnalysisException:
+        return spark.read.schema(_CHUNK_DDL).parquet(f"{path}/chunks")
+    with _as_table(spark) as name:
+        spark.sql(f"create table {name} ({_CHUNK_DDL}) using parquet clustered by (hash) into {layout.first()[0]} buckets location '{path}/chunks'")
+        return spark.table(name)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of ids and the CRC-32 of every chunk, which must match its hash."""
+    for b in batches:
+        sizes, crcs = [], []
+        for digest, payload, width in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            _verify(digest, payload)
+            sizes.append(len(payload) // width)
+            crcs.append(zlib.crc32(payload if width == 4 else np.frombuffer(payload, "<u2").astype("<u4").tobytes()))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())], ["hash", "size", "crc"])
+
+
+def _verify(digest: bytes, payload: bytes) -> None:
+    if blake2b(payload, digest_size=16).digest() != digest:
+        raise ValueError(f"chunk {digest.hex()} does not match its hash")
 
 
 class _Shift:
@@ -214,39 +247,47 @@ _SHIFT = _Shift()
 
 
 def _documents(digest_only: bool):
-    """Rebuild documents from their sorted chunks: their ids, or the length and CRC-32 of these."""
+    """Rebuild documents from their sorted chunks: their ids, or the length and CRC-32 of these. A document's first row holds its ``head``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, row, crc, count, tree, parts = None, None, 0, 0, Merkle(), []
         shift = _SHIFT.join
 
         def done():
-            if count != row[3] or tree.root() != row[4]:
-                raise ValueError(f"document {row[1]} does not match its recipe")
-            return {"doc_id": row[1], "start": row[2], "n_tokens": count} | ({"ids_crc32": crc} if digest_only else {"ids": b"".join(parts)})
+            ids = b""
+            if not digest_only:
+                ids = b"".join(parts) if width == 4 else np.frombuffer(b"".join(parts), "<u2").astype("<u4").tobytes()
+            if (count if digest_only else len(ids) // 4) != row["n_tokens"] or tree.root() != row["root"]:
+                raise ValueError(f"document {row['doc_id']} does not match its recipe")
+            return {"doc_id": row["doc_id"], "start": row["start"], "n_tokens": row["n_tokens"]} | ({"ids_crc32": crc} if digest_only else {"ids": ids})
 
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()) if digest_only else ("ids", pa.binary())])
         for b in batches:
-            out = []
+            out, held = [], 0
             numbers = b.column(0).to_numpy()
             firsts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]]) if len(numbers) else np.zeros(0, np.int64)
-            heads = zip(*(b.column(k).take(pa.array(firsts)).to_pylist() for k in range(5)), strict=True)
-            digests, whats, extras = (b.column(k).to_pylist() for k in (5, 6, 7))
+            heads = b.column(1).take(pa.array(firsts)).to_pylist()
+            digests, whats, extras = (b.column(k).to_pylist() for k in (2, 3, 4))
             for head, i, j in zip(heads, firsts.tolist(), [*firsts[1:].tolist(), len(numbers)], strict=True):
-                if head[0] != key:
+                if numbers[i] != key:
                     if row:
                         out.append(done())
-                    key, row, crc, count, tree, parts = head[0], head, 0, 0, Merkle(), []
+                        held += len(out[-1].get("ids", b""))
+                        if held > _OUT_BYTES:
+                            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                            out, held = [], 0
+                    key, row, crc, count, tree, parts = numbers[i], head, 0, 0, Merkle(), []
                 for digest, what, extra in zip(digests[i:j], whats[i:j], extras[i:j], strict=True):
                     if what is None:
-                        raise ValueError(f"chunk {digest.hex()} of document {row[1]} is missing")
+                        raise ValueError(f"chunk {digest.hex()} of document {row['doc_id']} is missing")
                     tree.add(digest)
                     if digest_only:
                         crc = shift(crc, extra, 4 * what)
                         count += what
                     else:
-                        parts.append(what if extra == 4 else np.frombuffer(what, "<u2").astype("<u4").tobytes())
-                        count += len(parts[-1]) // 4
+                        _verify(digest, what)
+                        parts.append(what)
+                        width = extra
             yield pa.RecordBatch.from_pylist(out, schema=schema)
         if row:
             yield pa.RecordBatch.from_pylist([done()], schema=schema)
@@ -288,9 +329,10 @@ def read_store(spark: SparkSession, path: str, digest_only: bool = False) -> Dat
     """``doc_id, start, n_tokens, ids`` (little-endian unsigned 32-bit) of every document, verified; ``start`` counts the ids before it.
 
     ``digest_only`` gives ``ids_crc32`` in place of ``ids``: chunks are read, verified and summed where they
-    lie, and a document's sum is joined from those of its chunks, so no ids are moved.
+    lie, and a document's sum is joined from those of its chunks, so no ids are moved. Uses of a chunk
+    that very many documents share are dealt to several copies of it.
     """
-    recipes = spark.read.schema(_RECIPE_DDL).parquet(f"{path}/recipes")
+    recipes = prepare(spark).read.schema(_RECIPE_DDL).parquet(f"{path}/recipes")
     _check_segments(recipes)
     manifest = recipes.filter("place < 0").select(F.col("segment").alias("s"), "n_tokens")
     # One row a segment: the window is as long as the list of files.
@@ -298,16 +340,34 @@ def read_store(spark: SparkSession, path: str, digest_only: bool = False) -> Dat
     offsets = manifest.select("s", ahead.alias("ahead"))
     rows = recipes.filter("place >= 0").join(F.broadcast(offsets), F.col("segment") == F.col("s"))
     number = F.shiftleft(F.col("segment").cast("long"), 40) + F.col("place")
-    uses = rows.select(number.alias("number"), "doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "root", F.posexplode("hashes").alias("at", "digest"))
+    # The document's own row goes with its first chunk alone.
+    head = F.struct("doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "root")
+    uses = rows.select(number.alias("number"), head.alias("head"), F.posexplode("hashes").alias("at", "digest"))
+    uses = uses.withColumn("head", F.when(F.col("at") == 0, F.col("head")))
     held = ("size", "crc") if digest_only else ("payload", "width")
-    chunks = spark.read.schema(_CHUNK_DDL).parquet(f"{path}/chunks").mapInArrow(_verified(not digest_only), "hash binary, size long, crc long" if digest_only else _CHUNK_DDL)
-    joined = uses.join(chunks, uses["digest"] == chunks["hash"], "left")
-    ready = joined.repartition("number").sortWithinPartitions("number", "at").select("number", "doc_id", "start", "n_tokens", "root", "digest", *held)
+    chunks = _chunks(spark, path).select("hash", "payload", "width")
+    if digest_only:
+        chunks = chunks.mapInArrow(_sums, "hash binary, size long, crc long")
+    total = recipes.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    most = max(MOST_USES, total // HOT_KEYS)
+    hot = recipes.select(F.explode("hashes").alias("hot")).groupBy("hot").count().filter(F.col("count") > most)
+    hot = written(hot.select("hot", F.ceil(F.col("count") / most).cast("int").alias("parts")), "store-hot")
+    if hot.isEmpty():
+        joined = uses.join(chunks, uses["digest"] == chunks["hash"], "left")
+    else:
+        hot = F.broadcast(hot)  # at most HOT_KEYS rows
+        marked = uses.join(hot, uses["digest"] == hot["hot"], "left")
+        cold, warm = marked.filter("parts is null").select(*uses.columns), marked.filter("parts is not null").select(*uses.columns, F.pmod("number", "parts").cast("int").alias("part"))
+        copies = chunks.join(hot, chunks["hash"] == hot["hot"]).select(*chunks.columns, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("copy"))
+        met = warm.join(copies, (warm["digest"] == copies["hash"]) & (warm["part"] == copies["copy"]), "left").drop("part", "copy")
+        joined = cold.join(chunks, cold["digest"] == chunks["hash"], "left").unionByName(met)
+    ready = joined.select("number", "head", "digest", *held, "at").repartition("number").sortWithinPartitions("number", "at").drop("at")
     last = "ids_crc32 long" if digest_only else "ids binary"
     return ready.mapInArrow(_documents(digest_only), f"doc_id long, start long, n_tokens long, {last}")
 
 
 def op2_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the store, read it back and sum the ids that were rebuilt from its chunks."""
     path = shared_path(spark, "store")
     write_store(table(spark, sf_dir, "documents"), path)
-    return read_store(spark, path, digest_only=True)
+    return read_store(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

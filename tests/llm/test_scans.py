@@ -393,6 +393,8 @@ def test_a_hundred_thousand_rules_equal_brute_force(spark, monkeypatch, hot):
         found, what = brute_verdict(url, rules)
         want.append((str(i), *brute_rule(url)[:2], str(found), what or "allow"))
     assert got == sorted(want)
+    if hot > 5:
+        return
     some = [*rules][:200]
     assert urls.judge(df, some).exceptAll(urls.judge(df, spark.createDataFrame(some, "verdict string, rule string"))).isEmpty()
 

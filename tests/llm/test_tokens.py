@@ -138,6 +138,35 @@ def test_store_of_nothing(spark, tmp_path):
     assert store.read_store(spark, path, digest_only=True).count() == 0
 
 
+def test_chunks_that_many_documents_share_are_dealt_to_copies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "MOST_USES", 3)
+    r = np.random.default_rng(9)
+    shared = " ".join(f"w{i}" for i in r.integers(0, 9999, 900))
+    docs = spark.createDataFrame([(i, f"{shared} own{i} " * (1 + i % 3)) for i in range(40)] + [(50 + i, f"only {i}") for i in range(9)], "doc_id long, text string")
+    path = str(tmp_path / "store")
+    store.write_store(docs, path)
+    got = {x["doc_id"]: bytes(x["ids"]) for x in store.read_store(spark, path).collect()}
+    assert got == {x["doc_id"]: library(x["text"]) + (2).to_bytes(4, "little") for x in docs.collect()}
+    sums = {x["doc_id"]: x["ids_crc32"] for x in store.read_store(spark, path, digest_only=True).collect()}
+    assert sums == {k: zlib.crc32(v) for k, v in got.items()}
+
+
+def test_payloads_move_once_when_a_store_is_read(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = str(tmp_path / "store")
+        store.write_store(edge_docs(spark), path)
+        plan = store.read_store(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    (scan,) = [i for i, line in enumerate(lines) if "FileScan parquet" in line and "store_chunks" in line]
+    join = max(i for i in range(scan) if "Join" in lines[i])
+    depth = lines[scan].index("FileScan")
+    between = [line for line in lines[join + 1 : scan] if "+- " in line and line.index("+- ") < depth and "Exchange hashpartitioning(hash" in line]
+    assert "Bucketed: true" in lines[scan] and not between
+
+
 @pytest.mark.parametrize("harm", ["payload", "missing chunk", "recipe", "manifest"])
 def test_a_damaged_store_is_noticed(spark, tmp_path, harm):
     from pyspark.sql import functions as F
