@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import written
+from sunframe.llm.common import remove, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -19,10 +19,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ``root`` is the smallest node of the component. Null ends and loops link nothing; a node that
     only has loops does not appear. Repeated edges count once. An empty input gives no rows.
     """
-    now = _oriented(edges.select("a", "b"))
-    now = written(now, "cc-edges")
+    spark = edges.sparkSession
+    now = written(_oriented(edges.select("a", "b")), "cc-edges")
     state = _state(now)
     while True:
+        given = now
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
         least = written(least, "cc-min")
@@ -32,6 +33,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         moved = star.join(low, star["a"] == low["k"]).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(_oriented(moved.unionByName(low.select(F.col("k").alias("a"), F.col("m").alias("b")))), "cc-small")
         before, state = state, _state(now)
+        for table in (given, least, star, low):  # of this round, all read for the last time
+            remove(spark, table.inputFiles()[0].rsplit("/", 1)[0])
         if before == state:
             break
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
