@@ -14,13 +14,15 @@ from sunframe.session import prepared
 from sunframe.sources.scratch import materialised as written
 from sunframe.sources.scratch import remove, shared_path
 
-__all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "remove", "shared_path", "spread_join", "table", "text_column", "text_filter", "written"]
+__all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "remove", "shared_path", "small", "spread_join", "table", "text_column", "text_filter", "written"]
 
 #: Rows and bytes of one Arrow batch: bounds a worker's memory when texts are long.
 TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 2000, 32 << 20
 
 #: A key is hot with over so many rows, and over one row in so many: so there are never more hot keys than the latter.
 HOT_ROWS, HOT_KEYS = 1_000_000, 10_000
+#: Rows of two numbers that may be broadcast.
+MOST_BROADCAST = 1_000_000
 
 _UPPER = bytes(range(65, 91))
 ASCII_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
@@ -106,3 +108,9 @@ def spread_join(many: DataFrame, one: DataFrame, on: dict[str, str], how: str =
     right = one.join(hot, [one[b] == F.col(f"hot_{i}") for i, b in enumerate(on.values())], "left").select(*one.columns, copies.alias(copy))
     met = left.join(right, [*[left[a] == right[b] for a, b in on.items()], left[part] == right[copy]], how)
     return met.drop(part, copy)
+
+
+def small(keys: DataFrame, most: int | None = None) -> DataFrame | None:
+    """``keys`` (a written table of a few numbers a row) marked for broadcast if it has at most ``most`` rows, else None."""
+    limit = MOST_BROADCAST if most is None else most
+    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else None

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import ASCII_LOWER, fresh, map_texts, table, text_column, written
+from sunframe.llm.common import ASCII_LOWER, fresh, map_texts, small, spread_join, table, text_column, written
 from sunframe.llm.components import connected_components
 
 RADIUS = 4
@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH) -
     the component has an id). Repeated rows each stay. An empty table gives no rows.
     """
     rows, named = _components(docs, radius, width)
-    return rows.join(named, rows["fp"] == named["f"]).select("doc_id", "fp", "component_id")
+    return spread_join(rows, named, {"fp": "f"}, salt=F.xxhash64("doc_id", "text_hash")).select("doc_id", "fp", "component_id")
 
 
 def _components(docs: DataFrame, radius: int, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -292,19 +292,37 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     texts form one group. Columns of any name pass through.
     """
     rows, named = _components(docs, radius)
-    return keep_first(docs, rows.join(named, rows["fp"] == named["f"]))
+    return keep_first(docs, spread_join(rows, named, {"fp": "f"}, salt=F.xxhash64("doc_id", "text_hash")))
 
 
 def keep_first(docs: DataFrame, rooted: DataFrame) -> DataFrame:
-    """The first row of ``docs`` of each ``root``; ``rooted`` has (doc_id, text_hash, root) of every row."""
-    order = F.struct(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), F.col("text_hash"))
-    first = rooted.groupBy("root").agg(F.min(order).alias("keep"))
-    keep = first.select(F.col("keep.id").alias("keep_id"), F.col("keep.text_hash").alias("keep_hash"))
+    """The first row of ``docs`` of each ``root``; ``rooted`` has (doc_id, text_hash, root) of every row.
+
+    Who goes is decided on ids and hashes. While those that go are few enough to broadcast, no text is
+    moved but those of repeated rows; beyond that the texts are dealt by id and hash once.
+    """
+    keyed = rooted.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), F.col("text_hash").alias("hash"), "root")
+    each = written(keyed.groupBy("id", "hash").agg(F.first("root").alias("root"), F.count(F.lit(1)).alias("n")), "keep-rows")
+    first = each.groupBy("root").agg(F.min(F.struct("id", "hash")).alias("keep")).select("keep.id", "keep.hash")
+    keep = written(first.select(F.col("id").alias("keep_id"), F.col("hash").alias("keep_hash")), "keep-first")
+    same = (each["id"] == keep["keep_id"]) & (each["hash"] == keep["keep_hash"])
+    marked = written(each.join(keep, same, "left").select("id", "hash", F.col("keep_id").isNotNull().alias("kept"), "n").filter("not kept or n > 1"), "keep-marked")
     key, whole = fresh("row_id", docs.columns), fresh("row_hash", docs.columns)
-    keyed = docs.withColumns({key: F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST_ID)), whole: F.xxhash64(text_column(docs))})
-    # Repeats of a row go before the shuffle; the join then finds rows dealt by its own keys.
-    once = keyed.dropDuplicates([key, whole])
-    return once.join(keep, (once[key] == keep["keep_id"]) & (once[whole] == keep["keep_hash"]), "left_semi").drop(key, whole)
+    rows = docs.withColumns({key: F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST_ID)), whole: F.xxhash64(text_column(docs))})
+
+    def met(keys: DataFrame):
+        return (rows[key] == keys["id"]) & (rows[whole] == keys["hash"])
+
+    out = small(marked)
+    if out is None:
+        once = rows.dropDuplicates([key, whole])
+        return once.join(keep, (once[key] == keep["keep_id"]) & (once[whole] == keep["keep_hash"]), "left_semi").drop(key, whole)
+    alone = rows.join(out, met(out), "left_anti")
+    repeated = marked.filter("kept")
+    if not repeated.isEmpty():
+        repeated = F.broadcast(repeated)
+        alone = alone.unionByName(rows.join(repeated, met(repeated), "left_semi").dropDuplicates([key, whole]))
+    return alone.drop(key, whole)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
