@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import fresh, prepare, table, text_column, written
+from sunframe.llm.common import fresh, prepare, small, table, text_column, written
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -33,6 +33,7 @@ ALPHA, DELTA = 0.05, 0.05
 QUANTILES = (0.95, 0.98, 0.99, 0.995, 0.999, 1.0)
 LEVELS = 256
 FEATURES = ("symbols", "capitals", "bangs", "digits", "dup_lines", "repeats")
+_SPACES, _SYMBOLS = SPACES.encode(), SYMBOLS.encode()
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
 _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -68,8 +69,8 @@ def measure(text: str | None) -> tuple[tuple[int, ...], tuple[int, ...]]:
     text = text or ""
     raw = text.encode()
     words = raw.split()
-    n, word_chars = len(words), len(text) - sum(map(text.count, SPACES))
-    symbols = sum(map(raw.count, SYMBOLS.encode()))
+    n, word_chars = len(words), len(text) - len(raw) + len(raw.translate(None, _SPACES))
+    symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
     seen: set[str] = set()
     dup = lines = 0
     for line in text.split("\n"):
@@ -144,56 +145,54 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     return h
 
 
-def proposals(histogram: dict[tuple[int, int], int]) -> list[list[int]]:
-    """For each quantile, the level from which each feature rejects; ``histogram`` counts good documents by (feature, level)."""
-    out = []
-    for q in QUANTILES:
-        cuts = []
-        for f in range(len(FEATURES)):
-            counts = np.array([histogram.get((f, level), 0) for level in range(LEVELS)])
-            reach = int(np.searchsorted(np.cumsum(counts), q * counts.sum() - 1e-9)) if counts.any() else LEVELS
-            cuts.append(reach + 1)
-        out.append(cuts)
-    return out
+def _marks(labels: DataFrame) -> DataFrame:
+    """Label of each document, the lowest if there are several."""
+    known = labels.filter("doc_id is not null and quality is not null")
+    return known.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min("quality").alias("quality"))
+
+
+def proposals(good: DataFrame) -> DataFrame:
+    """``s, cuts``: for each stratum and quantile the level from which each feature rejects; ``good`` has ``stratum, levels``."""
+    counts = good.select("stratum", F.posexplode("levels").alias("feature", "level")).groupBy("stratum", "feature", "level").count()
+    feature = Window.partitionBy("stratum", "feature")
+    reach = counts.select("stratum", "feature", "level", F.sum("count").over(feature.orderBy("level")).alias("up_to"), F.sum("count").over(feature).alias("all"))
+    cuts = [(F.min(F.when(F.col("up_to") >= F.col("all") * q - 1e-9, F.col("level"))) + 1).cast("int") for q in QUANTILES]
+    by_feature = reach.groupBy("stratum", "feature").agg(F.array(*cuts).alias("cuts"))
+    rows = by_feature.groupBy(F.col("stratum").alias("s")).agg(F.sort_array(F.collect_list(F.struct("feature", "cuts"))).alias("f"))
+    # ``f.cuts`` is by feature, then quantile.
+    cut = [F.array(*[F.col("f")[f]["cuts"][q] for f in range(len(FEATURES))]) for q in range(len(QUANTILES))]
+    return rows.select("s", F.array(*cut).alias("cuts"))
 
 
 def calibrate(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[str, list[int]]:
     """Cutoffs by stratum: a document is rejected if a feature's level is at least its cutoff.
 
     Repeated labels of a document count once (the lowest); null labels and documents that fail the base
-    rules do not count. Only counts by stratum, feature and level reach the driver.
+    rules do not count. One row a stratum reaches the driver. Without labelled rows there are no cutoffs.
     """
-    spark = stats.sparkSession
-    marks = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min("quality").alias("quality"))
+    marks = _marks(labels)
     known = stats.filter(~_base_failed()).join(marks, stats["doc_id"] == marks["label_id"])
     known = known.select("stratum", "levels", "quality", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"))
     known = written(known, "rules-labelled")
-    first = known.filter("half = 0 and quality = 1").select("stratum", F.posexplode("levels").alias("feature", "level")).groupBy("stratum", "feature", "level").count()
-    good: dict[str, dict[tuple[int, int], int]] = {}
-    for r in first.collect():
-        good.setdefault(r["stratum"], {})[r["feature"], r["level"]] = r["count"]
-    if not good:
-        return {}
-    cuts = {s: proposals(h) for s, h in good.items()}
-    frame = spark.createDataFrame([(s, c) for s, c in cuts.items()], "s string, cuts array<array<int>>")
+    frame = written(proposals(known.filter("half = 0 and quality = 1")), "rules-proposals")  # a row a stratum
     # Proposals are nested: a document is rejected by the first so many of them.
     rejects = F.size(F.filter("cuts", lambda c: F.exists(F.zip_with("levels", c, lambda x, y: x >= y), lambda b: b)))
-    tallied = known.join(F.broadcast(frame), known["stratum"] == frame["s"]).groupBy("stratum", "half", "quality", rejects.alias("rejects")).count().collect()
-    tests = len(cuts) * len(QUANTILES)
-    chosen: dict[str, list[int]] = {}
-    for s, options in cuts.items():
-        counts = {(r["half"], r["quality"], r["rejects"]): r["count"] for r in tallied if r["stratum"] == s}
+    tried = known.join(F.broadcast(frame), known["stratum"] == frame["s"]).select("stratum", "cuts", "half", "quality", rejects.alias("rejects"))
 
-        def total(half: int, quality: int, least: int, counts=counts) -> int:
-            return sum(c for (h, q, x), c in counts.items() if h == half and q == quality and x >= least)
+    def rejected(half: int, quality: int) -> Column:
+        """Documents that each proposal rejects."""
+        chosen = (F.col("half") == half) & (F.col("quality") == quality)
+        return F.array(*[F.count(F.when(chosen & (F.col("rejects") > i), 1)) for i in range(len(QUANTILES))])
 
+    held = F.count(F.when((F.col("half") == 1) & (F.col("quality") == 1), 1))
+    rows = tried.groupBy("stratum").agg(F.first("cuts").alias("cuts"), held.alias("held"), rejected(1, 1).alias("wrong"), rejected(0, 0).alias("bad"), rejected(0, 1).alias("good")).collect()
+    tests = max(1, len(rows) * len(QUANTILES))
+    chosen: dict[str, list[int]] = {}
+    for r in rows:
         best = 0
-        for i, option in enumerate(options):
-            held = total(1, 1, 0)
-            if held and binomial_tail(total(1, 1, i + 1), held, alpha) <= delta / tests:
-                gain = total(0, 0, i + 1) - total(0, 1, i + 1)
-                if gain > best:
-                    best, chosen[s] = gain, option
+        for cuts, wrong, bad, good in zip(r["cuts"], r["wrong"], r["bad"], r["good"], strict=True):
+            if r["held"] and bad - good > best and binomial_tail(wrong, r["held"], alpha) <= delta / tests:
+                best, chosen[r["stratum"]] = bad - good, list(cuts)
     return chosen
 
 
@@ -208,17 +207,27 @@ def judged(stats: DataFrame, cutoffs: dict[str, list[int]]) -> DataFrame:
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row a document: base statistics, ``base_failed``, ``kept``.
 
-    Null and empty texts have no words and fail. Each row stands for itself, also with null or repeated
-    ids. Without labels, and in strata with too few, only the base rules decide.
+    Null and empty texts have no words and fail; long texts are measured whole. Each row stands for
+    itself, also with null or repeated ids; repeated rows each stay. Columns but ``doc_id``, ``text`` and
+    ``lang`` (which may be missing) do not matter. An empty table gives no rows. Without labels, and in
+    strata with too few, only the base rules decide.
     """
     stats = written(statistics(docs), "rules-statistics")
     return judged(stats, calibrate(stats, labels)).select("doc_id", *_STATS, "base_failed", "kept")
 
 
 def keep_by_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Stage: the rows of ``docs`` that the rules keep, all columns; thresholds come from the labels of these rows."""
+    """Stage: the rows of ``docs`` that the rules keep, all columns; thresholds come from the labels of these rows.
+
+    Null and empty texts go; long texts are measured whole. Rows with null or repeated ids are judged by
+    their text and language; repeated rows go or stay together. Columns of any name pass through. An
+    empty table gives no rows; without labels only the base rules decide. While the labelled ids are few
+    enough to broadcast, only their documents are measured for the thresholds.
+    """
     prepare(docs.sparkSession)
-    cutoffs = calibrate(written(statistics(docs), "rules-statistics"), labels)
+    ids = small(written(_marks(labels).select("label_id"), "rules-labels"))
+    labelled = docs if ids is None else docs.join(ids, docs["doc_id"].cast("long") == ids["label_id"], "left_semi")
+    cutoffs = calibrate(written(statistics(labelled), "rules-statistics"), labels)
 
     @F.pandas_udf("boolean")
     def kept(texts: pd.Series, strata: pd.Series) -> pd.Series:

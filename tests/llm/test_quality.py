@@ -165,7 +165,7 @@ def test_op10_held_out_accuracy_and_contract(spark):
     sf = "/root/testdata/sf0.1"
     quality = dict(zip(*pq.read_table(f"{sf}/labels.parquet").select(["doc_id", "quality"]).to_pydict().values(), strict=True))
     rows = classifier.op10_classifier(spark, sf).collect()
-    assert len(rows) == pq.read_metadata(f"{sf}/documents.parquet").num_rows if hasattr(pq, "read_metadata") and not __import__("os").path.isdir(f"{sf}/documents.parquet") else True
+    assert len(rows) == pq.read_table(f"{sf}/documents.parquet", columns=["doc_id"]).num_rows > 5000
     held = []
     for r in rows:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
@@ -178,6 +178,64 @@ def test_op10_held_out_accuracy_and_contract(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.99
 
 
+def test_lines_of_a_mixed_document_are_told_apart(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = classifier.train(docs, labels)
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    scored = [(r["text"], quality[r["doc_id"]]) for r in docs.join(labels, "doc_id").select("doc_id", "text").limit(400).collect()]
+    good = [line for t, q in scored if q == 1 for line in t.split("\n") if len(line) > 60][:6]
+    bad = [line for t, q in scored if q == 0 for line in t.split("\n") if len(line) > 60][:6]
+    own, _, per_text = classifier.line_features(["\n".join(good + bad)])
+    chance = model.marginals(own, per_text)
+    assert len(good) == len(bad) == 6
+    assert chance[:6].mean() > chance[6:].mean() + 0.3
+
+
+def brute_features(text):
+    """A line's indicators in plain Python, from the definition."""
+    seen, rows = set(), []
+    for line in (text or "").split("\n"):
+        raw = line.encode()
+        n, words = max(1, len(raw)), raw.split()
+
+        def share(test, raw=raw, n=n):
+            return sum(map(test, raw)) / n
+
+        kinds = [
+            (lambda b: 65 <= b <= 90, (0.12, 0.4, 0.7)), (lambda b: 48 <= b <= 57, (0.0, 0.05, 0.2)), (lambda b: b in b" \t\n\x0b\x0c\r", (0.08, 0.2, 0.3)),
+            (lambda b: b in b"#*$%&|<>", (0.0, 0.01, 0.04, 0.1, 0.2)), (lambda b: b in b"!?", (0.0, 0.02, 0.08)), (lambda b: b in b".,;:'\"()-", (0.03, 0.06, 0.12)),
+            (lambda b: b >= 128, (0.05, 0.2)),
+            (lambda b: b < 128 and not (65 <= b <= 90 or 97 <= b <= 122 or 48 <= b <= 57 or b in b" \t\n\x0b\x0c\r#*$%&|<>!?.,;:'\"()-"), (0.0, 0.05)),
+        ]
+        row = [share(test) * n > t * n for test, ts in kinds for t in ts]
+        size = (len(raw) - sum(b in b" \t\n\x0b\x0c\r" for b in raw)) / max(1, len(words))
+        row += [not words, len(words) < 4, len(words) > 40, size < 3, size > 6, size > 8, size > 12, line in seen and line != "", len(set(words)) < 0.5 * len(words), len(set(words)) < 0.8 * len(words)]
+        seen.add(line)
+        rows.append([int(x) for x in row])
+    return rows
+
+
+def test_scores_equal_a_plain_version():
+    """Features, marginals by enumeration of all labellings, and the length-weighted mean."""
+    r = np.random.default_rng(5)
+    model = classifier.LineCRF(r.normal(size=3 * classifier.WIDTH + 3), r.normal(size=(2, 2)))
+    texts = ["One line.", None, "", "A LOUD LINE!!!\n\nA LOUD LINE!!!\nplain words go on here, 12 of them | #tag", "x\ny z\n" + "word " * 50 + "\nÜñï ünï", "<a>&amp;</a>\n{}[]~\n3.14 15 92"]
+    got = model.score(texts)
+    for text, score in zip(texts, got, strict=True):
+        own, lines = np.array(brute_features(text), float), (text or "").split("\n")
+        n, zero = len(lines), np.zeros(own.shape[1])
+        unary = [np.concatenate([[1.0], own[i], own[i - 1] if i else zero, own[i + 1] if i + 1 < n else zero, [float(i == 0), float(i + 1 == n)]]) @ model.weights for i in range(n)]
+        weights = np.zeros((2, n))
+        for labels in np.ndindex(*[2] * n):
+            w = math.exp(sum(u for u, y in zip(unary, labels, strict=True) if y) + sum(model.transitions[a, b] for a, b in zip(labels, labels[1:], strict=False)))
+            for i, y in enumerate(labels):
+                weights[y, i] += w
+        length = np.array([max(1, len(x.encode())) for x in lines])
+        want = float((weights[1] / weights.sum(0) * length).sum() / length.sum())
+        assert score == pytest.approx(want, abs=1e-5)
+
+
 def test_held_out_labels_change_nothing(spark):
     docs = spark.read.parquet(f"{SF_LARGER}/documents.parquet")
     labels = spark.read.parquet(f"{SF_LARGER}/labels.parquet")
