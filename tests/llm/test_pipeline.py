@@ -6,7 +6,9 @@ import corpus_pipeline
 from sunframe.llm import classifier, rules, secrets
 from tests.conftest import SF_LARGER
 from tests.llm.edges import EXTRA, edge_docs
-from tests.llm.test_simhash import brute_fingerprint, components_of
+from tests.llm.test_quality import brute_stats
+from tests.llm.test_scans import brute_secrets
+from tests.llm.test_similar import kept_by_brute_force
 from tests.llm.test_tokens import check_packing
 
 
@@ -26,23 +28,29 @@ def test_stages_equal_brute_force(spark):
     two = stages[1](spark, one, SF_LARGER)
 
     def passes(r):
-        stats, levels = rules.measure(r["text"])
-        return not rules.base_failed(stats[0], stats[4]) and not any(x >= c for x, c in zip(levels, cutoffs.get(r["lang"], ()), strict=False))
+        words, _, _, _, repeated = brute_stats(r["text"])
+        levels = rules.measure(r["text"])[1]
+        return not (words < 20 or 100 * repeated > 30 * words) and not any(x >= c for x, c in zip(levels, cutoffs.get(r["lang"], ()), strict=False))
 
     want = {i: r for i, r in kept.items() if passes(r)}
     assert {r["doc_id"]: r for r in two.collect()} == want
 
     three = stages[2](spark, two, SF_LARGER)
     ids = sorted(want)
-    components = components_of([(i, brute_fingerprint(want[i]["text"])) for i in ids])
-    alone = {i: want[i] for i, c in zip(ids, components, strict=True) if c == i}
+    least, pairs, _ = kept_by_brute_force(ids, [want[i]["text"] for i in ids])
+    alone = {i: want[i] for i in least}
+    assert pairs
     assert {r["doc_id"]: r for r in three.collect()} == alone and len(alone) < len(want)
 
     four = stages[3](spark, three, SF_LARGER)
     clean = {r["doc_id"]: r for r in four.collect()}
     assert set(clean) == set(alone)
+    markov = secrets.trained(three)
     for i, r in clean.items():
-        assert r["text"] == secrets.redacted(alone[i]["text"]) and r["n_chars"] == len(r["text"])
+        text = alone[i]["text"]
+        spans = [tuple(map(int, x.split(":")[1:])) for x in brute_secrets(text)] + [(a, b) for k, a, b in markov.scan(text) if k == "markov"]
+        hidden = {k for a, b in spans for k in range(a, b)}
+        assert "".join(c for k, c in enumerate(text) if k not in hidden) == r["text"].replace("[SECRET]", "") and r["n_chars"] == len(r["text"])
 
     packed = stages[4](spark, four, SF_LARGER).collect()
     check_packing(packed, [(i, r["text"]) for i, r in clean.items()], 2048, 0)
