@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from sunframe.operators.position import bucket_window, owned, with_halo
+from sunframe.operators.position import bucket_window, has_halo, owned, with_halo
 
 
 def lag_name(feature: str, i: int) -> str:
@@ -34,14 +34,17 @@ def leads(target: str, horizon: int, window: WindowSpec) -> dict[str, Column]:
     return {lead_name(target, i): F.lead(target, i).over(window) for i in range(1, horizon + 1)}
 
 
-def frame(df: DataFrame, features: Sequence[str], target: str, history: int, horizon: int, drop_incomplete: bool = True, keep: Sequence[str] = ("rn",)) -> DataFrame:
+def frame(df: DataFrame, features: Sequence[str], target: str, history: int, horizon: int, drop_incomplete: bool = True, keep: Sequence[str] = ("rn",), keep_bucket: bool = False) -> DataFrame:
     """One row a sample, all lags and leads from one window (one sort); ``df`` needs ``rn``.
 
-    Incomplete samples, those with an unknown value anywhere, are dropped unless told otherwise.
+    A frame that is dealt to halo buckets already stays so. Incomplete samples, those with an unknown value
+    anywhere, are dropped unless told otherwise. ``keep_bucket`` leaves ``bucket``, by which samples can be
+    numbered without another sort.
     """
     w = bucket_window()
     made = {**lags(features, history, w), **leads(target, horizon, w)}
-    wide = owned(with_halo(df, history, horizon).withColumns(made)).select(*keep, *made)
+    dealt = df if has_halo(df) else with_halo(df, history, horizon)
+    wide = owned(dealt.withColumns(made), True).select(*keep, *made, *(["bucket"] if keep_bucket else []))
     return wide.na.drop("any", subset=list(made)) if drop_incomplete else wide
 
 

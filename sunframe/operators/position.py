@@ -48,6 +48,24 @@ def bucket_window(rn: str = "rn") -> WindowSpec:
     return Window.partitionBy("bucket").orderBy(rn)
 
 
-def owned(df: DataFrame) -> DataFrame:
+def owned(df: DataFrame, keep_bucket: bool = False) -> DataFrame:
     """The rows of :func:`with_halo` without their copies."""
-    return df.filter("owned").drop("bucket", "owned")
+    return df.filter("owned").drop(*(["owned"] if keep_bucket else ["bucket", "owned"]))
+
+
+def has_halo(df: DataFrame) -> bool:
+    return {"bucket", "owned"} <= set(df.columns)
+
+
+def numbered_in_buckets(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df`` (with ``bucket``) and ``name``, its place in ``order``: rows of a lower bucket come first.
+
+    A row's place in its bucket comes from the windows that are there; one count a bucket makes it the
+    place in the whole. So nothing is sorted or dealt anew.
+    """
+    local = f"_{name}_local"
+    placed = materialised(df.withColumn(local, F.row_number().over(bucket_window(order)) - 1), "placed")
+    before = F.coalesce(F.sum("count").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = placed.groupBy("bucket").count().select(F.col("bucket").alias("_p"), before.alias("_before"))
+    # One row a bucket of BUCKET_ROWS rows.
+    return placed.join(F.broadcast(offsets), F.col("bucket") == F.col("_p")).withColumn(name, F.col(local) + F.col("_before")).drop(local, "bucket", "_p", "_before")

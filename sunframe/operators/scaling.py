@@ -6,9 +6,9 @@ population deviation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,17 +68,24 @@ def fit(df: DataFrame, names: Sequence[str], kind: str) -> Scaler:
 
 def fit_pooled(df: DataFrame, groups: Mapping[str, Sequence[str]], kind: str) -> Scaler:
     """Each group of columns (a feature's lags) shares one fit, over all its values."""
-    made: list[Column] = []
-    for names in groups.values():
-        if kind == "Standard":
-            total = reduce(lambda a, b: a + b, [F.sum(n) for n in names])
-            count = reduce(lambda a, b: a + b, [F.count(n) for n in names])
-            squares = reduce(lambda a, b: a + b, [F.sum(F.col(n).cast("double") * F.col(n)) for n in names])
-            mean = total / count
-            made += [mean, F.sqrt(F.greatest(squares / count - mean * mean, F.lit(0.0)))]
-        else:
-            low, high = [F.min(n) for n in names], [F.max(n) for n in names]
-            made += [F.least(*low) if len(low) > 1 else low[0], F.greatest(*high) if len(high) > 1 else high[0]]
+    columns = [n for names in groups.values() for n in names]
+    made = [s for n in columns for s in (F.count(n), *_statistics(kind, n))]
     row = df.agg(*[c.alias(f"s{i}") for i, c in enumerate(made)]).first()
-    stats = {n: (row[2 * i], row[2 * i + 1]) for i, names in enumerate(groups.values()) for n in names}
-    return _of(kind, stats)
+    by = {n: row[3 * i : 3 * i + 3] for i, n in enumerate(columns)}
+    pooled = {k: (_together if kind == "Standard" else _range)([by[n] for n in names if by[n][0]]) for k, names in groups.items()}
+    return _of(kind, {n: pooled[k] for k, names in groups.items() for n in names})
+
+
+def _range(parts: list[tuple]) -> tuple[float | None, float | None]:
+    """Least and greatest of columns' (count, least, greatest)."""
+    return (min(p[1] for p in parts), max(p[2] for p in parts)) if parts else (None, None)
+
+
+def _together(parts: list[tuple]) -> tuple[float | None, float | None]:
+    """Mean and population deviation of columns together from each one's (count, mean, deviation): deviations from the mean, so nothing cancels."""
+    n = sum(p[0] for p in parts)
+    if not n:
+        return None, None
+    origin = parts[0][1]
+    mean = origin + math.fsum(k * (m - origin) for k, m, _ in parts) / n
+    return mean, math.sqrt(math.fsum(k * (d * d + (m - mean) ** 2) for k, m, d in parts) / n)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunframe.operators.position import numbered
+from sunframe.operators.position import numbered, numbered_in_buckets
 
 
 def tree_counts(n: int, split: tuple[int, int, int]) -> tuple[int, int, int]:
@@ -29,7 +29,10 @@ def part_of(sample_id: Column, counts: tuple[int, int, int]) -> Column:
 
 
 def chronological(samples: DataFrame, split: tuple[int, int, int], network: bool, order: str = "rn") -> tuple[DataFrame, tuple[int, int, int]]:
-    """``samples`` with ``sample_id`` (from 0, by ``order``) and ``split``, and the counts of the parts. Never shuffled."""
-    placed = numbered(samples, [order], "sample_id")
+    """``samples`` with ``sample_id`` (from 0, by ``order``) and ``split``, and the counts of the parts. Never shuffled.
+
+    Samples that still have their ``bucket`` are numbered by it, others by a range sort.
+    """
+    placed = numbered_in_buckets(samples, order, "sample_id") if "bucket" in samples.columns else numbered(samples, [order], "sample_id")
     counts = (network_counts if network else tree_counts)(placed.count(), split)
     return placed.withColumn("split", part_of(F.col("sample_id"), counts)), counts

@@ -71,6 +71,10 @@ _WIDE = "select rn, t, " + ", ".join(
     [f"lag({f},{i}) over w as {n}" if i else f"{f} as {n}" for (f, i), n in zip(LAGS, INPUTS, strict=True)] + [f"lead(p_solar,{i}) over w as p_solar_lead{i}" for i in range(1, H + 1)]
 ) + " from expanded window w as (order by rn)"
 _FRAMED = "select * from wide where " + " and ".join(f"{c} is not null" for c in INPUTS + OUTPUTS)
+_DEFAULT = ("temperature humidity wind_speed wind_dir ghi poa_irr p_wind p_solar pressure pac pdc temp_module temp_cell hour_of_day mean_prev_h std_prev_h mean_wind_prev_h std_wind_prev_h").split()
+_SHIFTED = [(f"{f}_lag{i}" if i else f"{f}_now", f"lag({f},{i}) over w" if i else f) for f in _DEFAULT for i in range(PRE, -1, -1)] + [(f"p_solar_lead{i}", f"lead(p_solar,{i}) over w") for i in range(1, H + 1)]
+_WIDE18 = "select rn, " + ", ".join(f"{x} as {n}" for n, x in _SHIFTED) + " from expanded window w as (order by rn)"
+_FRAMED18 = "select * from wide18 where " + " and ".join(f"{n} is not null" for n, _ in _SHIFTED)
 _SAMPLES = "select *, row_number() over (order by rn) - 1 as sample_id, count(*) over () as n from framed"
 _TREE = "select *, case when sample_id < n - ceil(0.1*n) then 'train' else 'test' end as split from samples"
 _NET = """select *, case when sample_id < floor(0.7*n) then 'train'
@@ -80,10 +84,10 @@ _ERRORS = "select h, avg((forecast-observed)*(forecast-observed)) as mse, sqrt(a
 
 _CTES = {
     "telemetry": _TELEMETRY, "power": _POWER, "pv": _ROW, "pvc": _COLUMN, "clean": _CLEAN, "expanded": _EXPANDED, "wide": _WIDE, "framed": _FRAMED,
-    "samples": _SAMPLES, "tree": _TREE, "net": _NET, "pairs": _PAIRS, "errors": _ERRORS,
+    "samples": _SAMPLES, "wide18": _WIDE18, "framed18": _FRAMED18, "tree": _TREE, "net": _NET, "pairs": _PAIRS, "errors": _ERRORS,
 }
 _NEEDS = {
-    "power": ["telemetry"], "pv": ["power"], "pvc": ["power"], "clean": ["pv"], "expanded": ["clean"], "wide": ["expanded"], "framed": ["wide"],
+    "power": ["telemetry"], "pv": ["power"], "pvc": ["power"], "clean": ["pv"], "expanded": ["clean"], "wide": ["expanded"], "framed": ["wide"], "wide18": ["expanded"], "framed18": ["wide18"],
     "samples": ["framed"], "tree": ["samples"], "net": ["samples"], "pairs": ["tree"], "errors": ["pairs"],
 }
 
@@ -158,7 +162,7 @@ RELAXATION = sql(
     recursive=True,
 )
 #: Air properties that do not depend on the panel, then the recursion.
-THERMAL = sql(
+_FOLD = (
     f""" air as (
   select rn, poa_irr as e, temperature as c, temperature + 273.15 as ta, pressure*100.0 as p, least(humidity, 1.0) as rh, abs(wind_speed) as v, temp_module as tm from pv),
  gas as (
@@ -181,7 +185,8 @@ THERMAL = sql(
   union all
   select rn, case when abs(n - t) >= 5 then t + 0.1*(n - t) else n end, abs(n - t) >= 5
   from (select rn, t, {{step}} as n from (select f.*, o.v as t from fold o join flow f on f.rn = o.rn + 1)))
- select rn, {r("tm", "temp_module")}, {r("case when lead(damped) over (order by rn) then lead(fold.v) over (order by rn) else fold.v end - 273.15", "temp_module_rp")} from fold join (select rn, tm from air) using (rn)""".replace(
+,
+ panel as (select rn, tm, case when lead(damped) over (order by rn) then lead(fold.v) over (order by rn) else fold.v end - 273.15 as rp from fold join (select rn, tm from air) using (rn))""".replace(
         "{step}",
         "t + (1000.0*e*15.0*0.53*0.3 + {h}*15.0*(ta - t) + (case when t >= ta then -0.3*5.670374419e-8*15.0*(pow(t, 4) - pow(ta, 4)) else 0.0 end))"
         "*((case when {h} = 1e-16 then 0.0 else 1/({h}*15.0) end) + 0.1/(350.0*15.0*2))".replace(
@@ -190,10 +195,11 @@ THERMAL = sql(
                 "{ra}", "(9.81/ta*abs(t - ta)*pow(15.0/23.0, 3)/pow(mu/rho, 2)*pr)"
             ),
         ),
-    ),
-    "pv",
-    recursive=True,
+    )
 )
+THERMAL = sql(f"{_FOLD} select rn, {r('tm', 'temp_module')}, {r('rp', 'temp_module_rp')} from panel", "pv", recursive=True)
+DEFAULT_INPUTS = [f"{f}_lag{i}" if i else f"{f}_now" for f in _DEFAULT for i in range(PRE, -1, -1)]
+EXPANDED_DEFAULT = sql(f"{_FOLD} select rn::bigint as rn, hour_of_day, {', '.join(r(c, c) for c in _DEFAULT if c != 'hour_of_day')}, {r('rp', 'temp_module_rp')} from expanded join panel using (rn)", "expanded", recursive=True)
 _DAILY_LEADS = ", ".join(f"lead(q,{i}) over (order by rn) as y{i}" for i in range(1, 6))
 DEMAND = f"""with d as (select row_number() over (order by l_shipdate) - 1 as rn, sum(l_quantity) as q from lineitem group by l_shipdate),
  f as (select rn, q, lag(q,5) over (order by rn) as x5, {_DAILY_LEADS} from d),
@@ -203,6 +209,10 @@ DEMAND = f"""with d as (select row_number() over (order by l_shipdate) - 1 as rn
 
 ORACLES = {
     "resample_hourly": f"select epoch(date_trunc('hour',ts))::bigint as t, count(*)::bigint as n, {r('avg(value)', 'av')}, {r('min(value)', 'mn')}, {r('max(value)', 'mx')} from events group by date_trunc('hour',ts)",
+    "resample_unknown": f"""select epoch(date_trunc('hour',ts))::bigint as t, count(*)::bigint as n, {r('avg(x)', 'av')}, {r('min(x)*1e6', 'mn')}, {r('max(x)', 'mx')}
+ from (select ts, case when event_id % 7 = 0 then null when event_id % 5 = 0 then value*1e-8 else value end as x from events) e group by date_trunc('hour',ts)""",
+    "expand_default": EXPANDED_DEFAULT,
+    "frame_default": sql("select rn::bigint as rn, " + ", ".join(r(c, c) for c in [*DEFAULT_INPUTS, *OUTPUTS]) + " from framed18", "framed18"),
     "telemetry_view": sql("select t, rn::bigint as rn, poa_irr + 0.0 as poa_irr, temperature, wind_speed, humidity, pressure, p_solar, ghi, wind_dir, p_wind from telemetry", "telemetry"),
     "pv_temp_module": sql(f"select t, {r('temp_module', 'temp_module')} from pv", "pv"),
     "pv_temp_cell": sql(f"select t, {r('temp_cell', 'temp_cell')} from pv", "pv"),
@@ -226,7 +236,7 @@ ORACLES = {
     "frame_ann_legacy": legacy_query(),
     "tensor_x": tensor_query(),
     "tensor_y": sql("select rn, h::int as h, value from (" + " union all ".join(f"select rn, {i} as h, {r(f'p_solar_lead{i}', 'value')} from framed" for i in range(1, H + 1)) + ")", "framed"),
-    "outer_align": sql(f"select rn, {r('pac', 'pac')}, {r('wind_speed', 'wind_speed')} from (select rn, pac from pv where rn % 2 = 0) a full join (select rn, wind_speed from telemetry where rn % 3 = 0) b using (rn)", "pv"),
+    "outer_align": sql(f"select rn, {r('pac', 'pac')}, {r('wind_speed', 'wind_speed')} from (select rn, pac from pv) a full join (select rn + 24 as rn, wind_speed from telemetry) b using (rn)", "pv"),
     "pad_union": sql(f"select rn, {r('p_solar', 'p_solar')} from telemetry union all select unnest(range(n, (ceil(n/{PRE + 1}.0)*{PRE + 1})::bigint)), null from (select count(*) as n from telemetry) c", "telemetry"),
     "split_tree": sql("select rn, sample_id, split from tree", "tree"),
     "split_ann": sql("select rn, sample_id, split from net", "net"),
@@ -234,8 +244,13 @@ ORACLES = {
     "scale_minmax11": scale_query("MinMax11"),
     "scale_standard": scale_query("Standard"),
     "scale_pooled": sql(f", {fit([f'temp_module_lag{i}' if i else 'temp_module_now' for i in range(PRE + 1)], 'net', 's')} select sample_id, {r(scaled('MinMax01', 'temp_module_now', 's'), 'temp_module_now')}, {r(scaled('MinMax01', 'temp_module_lag5', 's'), 'temp_module_lag5')} from net, s", "net"),
+    "scale_pooled_standard": sql(f", {fit([f'temp_module_lag{i}' if i else 'temp_module_now' for i in range(PRE + 1)], 'net', 's')} select sample_id, {r(scaled('Standard', 'temp_module_now', 's'), 'temp_module_now')}, {r(scaled('Standard', 'temp_module_lag5', 's'), 'temp_module_lag5')} from net, s", "net"),
     "scale_constant_col": sql("select sample_id, 0.0::double as minmax01, (-1.0)::double as minmax11, 0.0::double as standard from tree", "tree"),
-    "inverse_scale": sql(f"select sample_id, {r('p_solar_now', 'p_solar_now')}, {r('temp_module_lag5', 'temp_module_lag5')} from tree", "tree"),
+    "inverse_scale": sql(
+        f", {fit(['p_solar_now'], 'tree', 's1')}, {fit(['temp_module_lag5'], 'tree', 's2')} select sample_id, {r('p_solar_now', 'p_solar_now')}, {r('temp_module_lag5', 'temp_module_lag5')}, "
+        f"{r(scaled('MinMax11', 'p_solar_now', 's1'), 'p_solar_now_scaled')}, {r(scaled('MinMax11', 'temp_module_lag5', 's2'), 'temp_module_lag5_scaled')} from tree, s1, s2",
+        "tree",
+    ),
     "persistence_exact": sql(f"select sample_id, h::int as h, {r('forecast', 'forecast')}, {r('observed', 'observed')} from pairs", "pairs"),
     "persistence_cross_scaled": cross_scaled_query(),
     "persistence_24h": sql(f"select rn::bigint as rn, h::int as h, {r('v', 'forecast')} from (" + " union all ".join(f"select rn, {i} as h, lag(p_solar,{24 - i}) over (order by rn) as v from clean" for i in range(1, H + 1)) + ")", "clean"),

@@ -39,12 +39,17 @@ class Prepared:
         return self.y_scaler.transform(self.x_scaler.transform(df, self.inputs), self.outputs)
 
 
-def load(spark: SparkSession, config: ForecastConfig, raw: DataFrame | None = None) -> DataFrame:
-    """The expanded table: built from the raw one (and saved if asked for), or imported."""
+def load(spark: SparkSession, config: ForecastConfig, raw: DataFrame | None = None, for_framing: bool = False) -> DataFrame:
+    """The expanded table: built from the raw one (and saved if asked for), or imported.
+
+    ``for_framing`` leaves a table that is neither saved nor imported in the halo buckets that framing needs.
+    """
     if config.mode == "import":
         return read_expanded(spark, config)
     source = clean_nan(raw) if raw is not None else read_raw(spark, config.root, config.resolution)
     placed = source if "rn" in source.columns else numbered(source, ["ts"])
+    if for_framing and not config.save_expanded and config.trim != "legacy":
+        return expand(placed, config, for_framing=True)
     out = prune(expand(placed, config), config.features)
     if config.save_expanded:
         return spark.read.parquet(write_expanded(out, config))
@@ -55,7 +60,7 @@ def prepare(expanded: DataFrame, config: ForecastConfig) -> Prepared:
     """Samples, their parts and scalers. Networks share a scale by feature; trees and SVR scale every lag by itself."""
     p, h = config.history, config.horizon
     features = [f for f in config.features if f in expanded.columns]
-    framed = frame(expanded, features, config.target, p, h)
+    framed = frame(expanded, features, config.target, p, h, keep_bucket=True)
     if config.is_network and config.trim == "legacy":
         framed = trimmed(framed, expanded.count(), p, h, "legacy")
     samples, counts = chronological(framed, config.split, config.is_network)
@@ -144,7 +149,7 @@ class Forecast:
 
 def run(spark: SparkSession, config: ForecastConfig, raw: DataFrame | None = None) -> Forecast:
     """The whole run. Actions happen only where a count, a scaler, a model or a result needs one."""
-    data = prepare(load(spark, config, raw), config)
+    data = prepare(load(spark, config, raw, for_framing=True), config)
     model = fit_or_load(spark, config, data)
     tested = materialised(test(model, config, data), "tested")
     return Forecast(data, model, tested, score(tested))

@@ -64,12 +64,13 @@ def expanded(spark: SparkSession, sf_dir: str, features: tuple[str, ...] = FEATU
     return expand(telemetry(spark, sf_dir), TREE.with_(features=features))
 
 
-def framed(spark: SparkSession, sf_dir: str, drop: bool = True) -> DataFrame:
-    return frame(expanded(spark, sf_dir), FEATURES, "p_solar", PRE, H, drop)
+def framed(spark: SparkSession, sf_dir: str, drop: bool = True, keep_bucket: bool = False, config: ForecastConfig = TREE) -> DataFrame:
+    dealt = expand(telemetry(spark, sf_dir), config, for_framing=True)
+    return frame(dealt, config.features, config.target, config.history, config.horizon, drop, keep_bucket=keep_bucket)
 
 
 def split(spark: SparkSession, sf_dir: str, network: bool = False) -> DataFrame:
-    return chronological(framed(spark, sf_dir), (70, 20, 10), network)[0]
+    return chronological(framed(spark, sf_dir, keep_bucket=True), (70, 20, 10), network)[0]
 
 
 def tested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,14 @@ def resample_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed(resample(events(spark, sf_dir)), "av", "mn", "mx", keys=[epoch_s(F.col("ts")).alias("t"), "n"])
 
 
+@query
+def resample_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly statistics where some values are unknown (NaN) and some very small."""
+    x = F.when(F.col("event_id") % 7 == 0, float("nan")).when(F.col("event_id") % 5 == 0, F.col("value") * 1e-8).otherwise(F.col("value"))
+    made = resample(events(spark, sf_dir).withColumn("value", x)).withColumn("mn", F.col("mn") * 1e6)
+    return keyed(made, "av", "mn", "mx", keys=[epoch_s(F.col("ts")).alias("t"), "n"])
+
+
 @query
 def telemetry_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed(telemetry(spark, sf_dir), "poa_irr", "temperature", "wind_speed", "humidity", "pressure", "p_solar", "ghi", "wind_dir", "p_wind", keys=[epoch_s(F.col("ts")).alias("t"), "rn"])
@@ -166,6 +175,24 @@ def expand_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed(df, *names, keys=[epoch_s(F.col("ts")).alias("t"), "hour_of_day"])
 
 
+#: The default configuration: eighteen features, and the panel's temperature of the thermal balance besides.
+DEFAULT = ForecastConfig()
+
+
+@query
+def expand_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expanded table of the default features with the thermal channel."""
+    df = expand(telemetry(spark, sf_dir), DEFAULT.with_(features=(*DEFAULT.features, *THERMAL)))
+    return keyed(df, *[f for f in (*DEFAULT.features, *THERMAL) if f != "hour_of_day"], keys=["rn", "hour_of_day"])
+
+
+@query
+def frame_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete samples of the default run: all lags of eighteen features, and the target's leads."""
+    made = framed(spark, sf_dir, config=DEFAULT)
+    return keyed(made, *[c for c in made.columns if c != "rn"], keys=["rn"])
+
+
 @query
 def column_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("p_solar", "temp_module")
@@ -207,8 +234,9 @@ def tensor_y(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def outer_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two subsets of the columns over all rows, one of them a day later: either side lacks keys of the other."""
     rows = pv(spark, sf_dir)
-    both = align.outer_align(rows.filter("rn % 2 = 0").select("rn", "pac"), rows.filter("rn % 3 = 0").select("rn", "wind_speed"), ["rn"])
+    both = align.outer_align(rows.select("rn", "pac"), rows.select((F.col("rn") + 24).alias("rn"), "wind_speed"), ["rn"])
     return keyed(both, "pac", "wind_speed", keys=["rn"])
 
 
@@ -233,7 +261,10 @@ def _scaled(kind: str, inverse: bool = False) -> Query:
         rows, names = split(spark, sf_dir), ["p_solar_now", "temp_module_lag5"]
         s = scaling.fit(rows.filter("split = 'train'"), names, kind)
         out = s.transform(rows)
-        return keyed(s.inverse(out) if inverse else out, *names, keys=["sample_id"])
+        if not inverse:
+            return keyed(out, *names, keys=["sample_id"])
+        both = out.withColumns({f"{n}_scaled": F.col(n) for n in names})
+        return keyed(s.inverse(both, names), *names, *(f"{n}_scaled" for n in names), keys=["sample_id"])
 
     return scaled
 
@@ -244,11 +275,19 @@ for _query, _kind, _back in (("scale_minmax01", "MinMax01", False), ("scale_minm
     query(_made)
 
 
-@query
-def scale_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = split(spark, sf_dir, True)
-    s = scaling.fit_pooled(rows.filter("split = 'train'"), {"temp_module": [lag_name("temp_module", i) for i in range(PRE + 1)]}, "MinMax01")
-    return keyed(s.transform(rows), "temp_module_now", "temp_module_lag5", keys=["sample_id"])
+def _pooled(kind: str) -> Query:
+    def pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = split(spark, sf_dir, True)
+        s = scaling.fit_pooled(rows.filter("split = 'train'"), {"temp_module": [lag_name("temp_module", i) for i in range(PRE + 1)]}, kind)
+        return keyed(s.transform(rows), "temp_module_now", "temp_module_lag5", keys=["sample_id"])
+
+    return pooled
+
+
+for _query, _kind in (("scale_pooled", "MinMax01"), ("scale_pooled_standard", "Standard")):
+    _made = _pooled(_kind)
+    _made.__name__ = _query
+    query(_made)
 
 
 @query
@@ -379,10 +418,12 @@ def loss_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly view as a stream over the same files (an extension), run to the end of what is there."""
-    name = f"stream_hourly_{abs(hash(sf_dir))}"
-    q = hourly(read_events(spark, sf_dir)).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    path, state = shared_path(spark, "stream-hourly"), shared_path(spark, "stream-state")
+    made = hourly(read_events(spark, sf_dir))
+    # Each trigger replaces the whole view, on the executors; nothing is gathered on the driver.
+    q = made.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path)).option("checkpointLocation", state).trigger(availableNow=True).start()
     q.awaitTermination()
-    return keyed(spark.table(name), "av", "mn", "mx", keys=[epoch_s(F.col("ts")).alias("t"), "n"])
+    return keyed(spark.read.schema(made.schema).parquet(path), "av", "mn", "mx", keys=[epoch_s(F.col("ts")).alias("t"), "n"])
 
 
 for _alias in ("clean_curtailment_", "hour_of_day_"):

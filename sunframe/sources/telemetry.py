@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunframe.config import BASE_CHANNELS, RAW_NAMES, RESOLUTIONS, ForecastConfig
@@ -14,6 +15,10 @@ from sunframe.functions.columns import clean_nan, epoch_ns_to_ts, require_column
 from sunframe.operators.position import numbered
 
 
+#: What raw files call their time column.
+TIME_NAMES = ("ts", "Timestamp", "TIMESTAMP", "index")
+
+
 def raw_path(root: str, resolution: str) -> str:
     """Where the raw table of a resolution lies."""
     if resolution not in RESOLUTIONS:
@@ -28,7 +33,7 @@ def expanded_path(root: str, resolution: str) -> str:
 def normalised(df: DataFrame) -> DataFrame:
     """Canonical names, a timestamp ``ts`` (from epoch nanoseconds if it is a number) and NULL for NaN."""
     known = {raw: name for name, raw in RAW_NAMES.items()}
-    out = df.toDF(*[known.get(c, {"Timestamp": "ts", "TIMESTAMP": "ts", "index": "ts"}.get(c, c)) for c in df.columns])
+    out = df.toDF(*[known.get(c, "ts" if c in TIME_NAMES else c) for c in df.columns])
     if "ts" in out.columns and dict(out.dtypes)["ts"] in ("bigint", "double"):
         out = out.withColumn("ts", epoch_ns_to_ts(F.col("ts")))
     return clean_nan(out)
@@ -40,19 +45,30 @@ def raw_names(df: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, root: str, resolution: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """The raw table of a resolution; ``start`` and ``end`` (exclusive) reach the scan as pushed filters."""
+    """The raw table of a resolution; ``start`` and ``end`` (exclusive) reach the scan as pushed filters, also where it holds epoch nanoseconds."""
     try:
         df = spark.read.parquet(raw_path(root, resolution))
     except AnalysisException as e:
         raise MissingDataError(f"no raw telemetry at {raw_path(root, resolution)}") from e
-    df = normalised(df)
+    at = next((c for c in df.columns if c in TIME_NAMES), "ts")
+    numeric = dict(df.dtypes).get(at) in ("bigint", "double")
+
+    def bound(text: str) -> Column:
+        if not numeric:
+            return F.lit(text).cast("timestamp")
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        return F.lit(pd.Timestamp(text).tz_localize(zone).value).cast(dict(df.dtypes)[at])
+
+    # Bounds are whole microseconds, so flooring nanoseconds to these changes nothing.
     if start:
-        df = df.filter(F.col("ts") >= F.lit(start).cast("timestamp"))
-    return df.filter(F.col("ts") < F.lit(end).cast("timestamp")) if end else df
+        df = df.filter(F.col(at) >= bound(start))
+    if end:
+        df = df.filter(F.col(at) < bound(end))
+    return normalised(df)
 
 
 def read_hdf5(spark: SparkSession, path: str) -> DataFrame:
-    """The HDF5 layout (group DATA: names, nanoseconds, values), where ``h5py`` is installed."""
+    """The HDF5 layout (group DATA: names, nanoseconds, values), where ``h5py`` is installed. Executors open ``path``: it must be on a file system that all mount."""
     from sunframe.sources.hdf5 import HDF5Source
 
     spark.dataSource.register(HDF5Source)
@@ -81,11 +97,17 @@ def write_expanded(df: DataFrame, config: ForecastConfig) -> str:
 
 
 def resample(events: DataFrame, unit: str = "hour", ts: str = "ts", value: str = "value") -> DataFrame:
-    """Statistics of events by calendar unit. Means come from exact sums, so they do not depend on the order of rows."""
-    n = F.count(F.lit(1))
-    exact = F.sum(F.col(value).cast("decimal(18,6)")).cast("double") / n
-    return events.groupBy(F.date_trunc(unit, ts).alias("ts")).agg(
-        n.alias("n"), exact.alias("av"), (F.sum("user_id").cast("double") / n).alias("au"), F.min(value).alias("mn"), F.max(value).alias("mx")
+    """Statistics of events by calendar unit: ``n`` counts all, the others the known values (NaN is unknown).
+
+    Means do not depend on the order of rows: millionths are summed exactly, what is left of a value apart.
+    """
+    n, x = F.count(F.lit(1)), F.col(value)
+    rows = clean_nan(events.withColumn(value, x.cast("double")))
+    coarse = x.try_cast("decimal(38,6)")
+    rest = x - F.coalesce(coarse.cast("double"), F.lit(0.0))
+    mean = (F.coalesce(F.sum(coarse).cast("double"), F.lit(0.0)) + F.sum(rest)) / F.count(x)
+    return rows.groupBy(F.date_trunc(unit, ts).alias("ts")).agg(
+        n.alias("n"), F.when(F.count(x) > 0, mean).alias("av"), (F.sum("user_id").cast("double") / n).alias("au"), F.min(value).alias("mn"), F.max(value).alias("mx")
     )
 
 
