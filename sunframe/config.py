@@ -42,7 +42,7 @@ RAW_NAMES = {
 }
 #: Default hyper-parameters by model.
 HYPER: dict[str, dict[str, Any]] = {
-    "RF": {"n_trees": 1, "random_state": 32, "max_depth": 30},
+    "RF": {"n_trees": 1, "random_state": 32, "max_depth": 30, "bootstrap": True},
     "SVM": {"kernel": "rbf", "degree": 3, "gamma": "scale", "coef0": 0.0, "C": 3.0, "epsilon": 0.1},
     "LSTM": {"n_batch": 16, "epochs": 1000, "neurons": [15, 15, 15], "dense": [0, 0], "activation": "tanh", "loss": "mean_absolute_error", "optimizer": "adam"},
     "CNN": {"n_batch": 16, "epochs": 3, "filters": 32, "kernel_size": 2, "pool_size": 3, "dense": [10, 10], "activation": "tanh", "loss": "mean_absolute_error", "optimizer": "adam"},

@@ -11,6 +11,8 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sunframe.sources.scratch import materialised
+
 
 class ForestForecaster:
     """``predict`` adds ``forecast array<double>`` to framed samples."""
@@ -20,17 +22,15 @@ class ForestForecaster:
 
     @classmethod
     def fit(cls, train: DataFrame, inputs: Sequence[str], outputs: Sequence[str], settings: dict[str, Any]) -> ForestForecaster:
-        """All steps are fitted at once from one assembled, cached frame."""
-        vectors = VectorAssembler(inputCols=list(inputs), outputCol="_x").transform(train).select("_x", *outputs).cache()
-        single = settings["n_trees"] == 1
+        """All steps are fitted at once from one assembled table, which a lost executor does not take along."""
+        vectors = materialised(VectorAssembler(inputCols=list(inputs), outputCol="_x").transform(train).select("_x", *outputs), "forest")
 
         def one(y: str) -> RandomForestRegressionModel:
-            rf = RandomForestRegressor(featuresCol="_x", labelCol=y, numTrees=settings["n_trees"], seed=settings["random_state"], maxDepth=settings["max_depth"], featureSubsetStrategy="all", bootstrap=not single, predictionCol=f"_{y}")
+            rf = RandomForestRegressor(featuresCol="_x", labelCol=y, numTrees=settings["n_trees"], seed=settings["random_state"], maxDepth=settings["max_depth"], featureSubsetStrategy="all", bootstrap=settings["bootstrap"], predictionCol=f"_{y}")
             return rf.fit(vectors)
 
         with ThreadPoolExecutor(4) as pool:
             models = list(pool.map(one, outputs))
-        vectors.unpersist()
         return cls(inputs, models)
 
     def predict(self, df: DataFrame) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-#: Rows of one partition.
-ROWS = 1 << 20
+#: Rows of one partition, and of one Arrow batch.
+ROWS, BATCH = 1 << 20, 1 << 16
 
 
 class HDF5Source(DataSource):
@@ -42,10 +44,14 @@ class HDF5Reader(DataSourceReader):
             n = f["DATA/axis1"].shape[0]
         return [InputPartition(i) for i in range(0, max(n, 1), ROWS)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        """A block of rows as Arrow batches; only so many rows of the file are in memory."""
         import h5py
 
         with h5py.File(self.path) as f:
-            rows = slice(partition.value, partition.value + ROWS)
-            for ts, values in zip(f["DATA/axis1"][rows], f["DATA/block0_values"][rows], strict=True):
-                yield (int(ts), *map(float, values))
+            names = ["ts", *(n.decode() if isinstance(n, bytes) else str(n) for n in f["DATA/axis0"][:])]
+            ts, values = f["DATA/axis1"], f["DATA/block0_values"]
+            for at in range(partition.value, min(partition.value + ROWS, ts.shape[0]), BATCH):
+                rows = slice(at, min(at + BATCH, partition.value + ROWS))
+                block = np.asarray(values[rows], float)
+                yield pa.RecordBatch.from_arrays([pa.array(np.asarray(ts[rows], np.int64)), *(pa.array(np.ascontiguousarray(c)) for c in block.T)], names)

@@ -9,12 +9,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sunframe.errors import ConfigError
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset and all runs on this machine, as in tests."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sunframe-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ConfigError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sunframe-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from sunframe.functions.columns import clean_nan
 from sunframe.operators.thermal import DAMPING, KELVIN, LIMIT, thermal_step
 
 COLUMNS = "series string, rn long, poa_irr double, temperature double, wind_speed double, pressure double, humidity double, temp_module double"
@@ -24,34 +25,42 @@ def read_events(spark: SparkSession, folder: str, name: str = "events") -> DataF
 
 def hourly(events: DataFrame, late: str = "2 hours") -> DataFrame:
     """Statistics by hour; events up to ``late`` behind the newest count."""
-    ts = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    ts = clean_nan(events).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     made = ts.groupBy(F.window("ts", "1 hour")).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("av"), F.min("value").alias("mn"), F.max("value").alias("mx"))
     return made.select(F.col("window.start").alias("ts"), "n", "av", "mn", "mx")
 
 
 class ThermalProcessor(StatefulProcessor):
-    """The thermal fold with its state by series: temperature, and the row that may still be rewritten."""
+    """The thermal fold with its state by series: temperature, and the row that may still be rewritten.
+
+    As in the batch fold, a row with an unknown input is unknown, leaves the temperature as it is and
+    is never rewritten; a series starts at its first row without one.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("state", "t double, rn long, value double")
+        self._state = handle.getValueState("state", "t double, known boolean, rn long, value double, open boolean")
         self._step = thermal_step()
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         part = pd.concat(list(rows)).sort_values("rn")
-        held = self._state.get() if self._state.exists() else None
-        out: list[tuple[str, int, float]] = []
+        # State of the panel, whether there is one yet, and the last row: its value and whether it may be rewritten.
+        t, known, rn, value, open_ = self._state.get() if self._state.exists() else (0.0, False, None, None, False)
+        out: list[tuple[str, int, float | None]] = []
         for row in part.itertuples(index=False):
-            inputs = [getattr(row, c) for c in _INPUTS]
-            t = self._step(held[0] if held else KELVIN + row.temp_module, inputs)
-            if held and abs(t - held[0]) >= LIMIT:
-                t = held[0] + DAMPING * (t - held[0])
-                held = (held[0], held[1], t - KELVIN)
-            if held:
-                out.append((key[0], int(held[1]), float(held[2])))
-            held = (float(t), int(row.rn), float(t - KELVIN))
-        if held:
-            self._state.update(held)
-        yield pd.DataFrame(out, columns=["series", "rn", "temp_module_rp"])
+            inputs = [getattr(row, c) for c in (*_INPUTS, "temp_module")]
+            unknown = any(pd.isna(x) for x in inputs)
+            if not unknown:
+                new = self._step(t if known else KELVIN + inputs[-1], inputs[:-1])
+                if known and abs(new - t) >= LIMIT:
+                    new = t + DAMPING * (new - t)
+                    value = new - KELVIN if open_ else value
+                t, known = float(new), True
+            if rn is not None:
+                out.append((key[0], int(rn), value))
+            rn, value, open_ = int(row.rn), None if unknown else t - KELVIN, not unknown
+        if rn is not None:
+            self._state.update((t, known, rn, value, open_))
+        yield pd.DataFrame(out, columns=["series", "rn", "temp_module_rp"]).astype({"temp_module_rp": float})
 
     def close(self) -> None:
         pass
@@ -59,4 +68,5 @@ class ThermalProcessor(StatefulProcessor):
 
 def thermal_stream(telemetry: DataFrame) -> DataFrame:
     """``series, rn, temp_module_rp`` of a stream with ``COLUMNS``, one row late: the next may rewrite it."""
-    return telemetry.groupBy("series").transformWithStateInPandas(ThermalProcessor(), "series string, rn long, temp_module_rp double", "append", "none")
+    out = telemetry.groupBy("series").transformWithStateInPandas(ThermalProcessor(), "series string, rn long, temp_module_rp double", "append", "none")
+    return clean_nan(out)
