@@ -8,13 +8,16 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sunframe.config import ForecastConfig
 from sunframe.errors import ConfigError
 from sunframe.models.persistence import cross_scaled, daily_persistence, persistence
 from sunframe.operators import align, evaluate, scaling
-from sunframe.operators.features import rolling, rolling_features
+from sunframe.operators.features import expand, rolling, rolling_features
 from sunframe.operators.framing import frame, lag_name, lead_name, legacy_range, raw_name, tensors, trimmed
 from sunframe.operators.position import BUCKET_ROWS, bucket_window, numbered, owned, with_halo
 from sunframe.operators.split import chronological, network_counts, part_of, tree_counts
+from sunframe.sources.telemetry import telemetry_view
+from tests.conftest import SF
 
 
 def series(spark, x):
@@ -177,3 +180,37 @@ def test_alignment(spark):
     assert align.pad_rows(a, 3, 3).count() == 3
     diff = align.index_difference(a, series(spark, [1, 5]), ["rn"], "p_solar").orderBy("rn").collect()
     assert [r["p_solar"] for r in diff] == [0.0, -3.0, None]
+
+
+def test_pooled_deviations_do_not_cancel(spark):
+    df = spark.createDataFrame([(1e9, 1e9 + 0.001, None), (1e9 + 0.001, 1e9, None)], "a double, b double, c double")
+    made = scaling.fit_pooled(df, {"x": ["a", "b"], "y": ["c"]}, "Standard")
+    assert made.divisor["a"] == pytest.approx(0.0005, rel=1e-3) and made.center["a"] == pytest.approx(1e9 + 0.0005, abs=1e-6)
+    assert made.divisor["c"] == 1.0 and made.center["c"] == 0.0
+    r = np.random.default_rng(2)
+    x = r.normal(3, 2, (50, 3))
+    many = spark.createDataFrame([tuple(map(float, row)) for row in x], "a double, b double, c double")
+    made = scaling.fit_pooled(many, {"x": ["a", "b", "c"]}, "Standard")
+    assert made.center["b"] == pytest.approx(x.mean()) and made.divisor["b"] == pytest.approx(x.std())
+
+
+def test_expansion_and_framing_share_one_exchange(spark):
+    """Rolling features, lags, leads and the place of a sample come from one dealing of the rows."""
+    rows = numbered(telemetry_view(spark.read.parquet(f"{SF}/events.parquet")), ["ts"])
+    config = ForecastConfig(model="RF", features=("p_solar", "mean_prev_h", "std_prev_h"))
+    made = frame(expand(rows, config, for_framing=True), config.features, "p_solar", 5, 10, keep_bucket=True)
+    placed = made.withColumn("place", F.row_number().over(bucket_window()))
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(bucket") == 1 and plan.count("Sort [bucket") == 1
+    apart = frame(expand(rows, config), config.features, "p_solar", 5, 10)
+    assert made.drop("bucket").exceptAll(apart).isEmpty() and apart.count() == made.count() > 0
+
+
+@pytest.mark.parametrize("rows", [7, 64])
+def test_samples_are_numbered_across_buckets(spark, monkeypatch, rows):
+    df = spark.range(100).select(F.col("id").alias("rn"), F.when(F.col("id") % 17 != 3, F.col("id") * 1.0).alias("p_solar"))
+    dealt = with_halo(df, 2, 1, rows=rows)
+    made = frame(dealt, ["p_solar"], "p_solar", 2, 1, keep_bucket=True)
+    got = [(r["sample_id"], r["rn"]) for r in chronological(made, (70, 20, 10), False)[0].orderBy("rn").collect()]
+    want = [i for i in range(2, 99) if all((i + k) % 17 != 3 for k in (-2, -1, 0, 1))]
+    assert got == list(enumerate(want))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from sunframe.models.svr import SVRForecaster, kernel, solve
 from sunframe.plans import forecast
 from sunframe.sources.results import read_results, write_results
 from sunframe.sources.telemetry import normalised, raw_names, raw_path, read_expanded, read_raw, telemetry
-from tests.conftest import SF
+from tests.conftest import ROOT, SF
 
 FEATURES = ("p_solar", "pac", "temp_module", "mean_prev_h")
 
@@ -189,14 +191,63 @@ def test_raw_tables_are_normalised_and_filters_pushed(spark, tmp_path):
     part = read_raw(spark, str(tmp_path), "60min", "2018-06-01 10:00:00", "2018-06-01 12:00:00")
     assert part.select("p_solar").count() == 2
     plan = part.select("p_solar")._jdf.queryExecution().toString()
-    assert "GreaterThanOrEqual(ts" in plan and "ReadSchema: struct<ts:timestamp,p_solar:double>" in plan.replace("ghi:double,", "ghi:double,")
-    assert F.col("x") is not None
+    assert "GreaterThanOrEqual(ts" in plan and "ReadSchema: struct<ts:timestamp,p_solar:double>" in plan
+
+
+@pytest.mark.parametrize(("name", "kind"), [("Timestamp", "bigint"), ("index", "double")])
+def test_bounds_reach_the_scan_of_epoch_nanoseconds(spark, tmp_path, name, kind):
+    hour = 3_600_000_000_000
+    spark.createDataFrame([(1_527_811_200_000_000_000 + i * hour, float(i)) for i in range(48)], f"`{name}` long, `P_Solar[kW]` double").withColumn(name, F.col(name).cast(kind)).write.parquet(raw_path(str(tmp_path), "60min"))
+    part = read_raw(spark, str(tmp_path), "60min", "2018-06-01 10:00:00", "2018-06-01 12:00:00")
+    assert sorted(r["p_solar"] for r in part.collect()) == [10.0, 11.0]
+    plan = part._jdf.queryExecution().toString()
+    assert f"GreaterThanOrEqual({name}" in plan and f"LessThan({name}" in plan
+
+
+FAKE_HDF5 = """
+import numpy as np
+
+
+def File(path):
+    return np.load(path)
+"""
+
+
+def test_hdf5_layout_is_read_in_blocks(spark, tmp_path, monkeypatch):
+    """The library that opens such files is stood in for by one that opens the same arrays."""
+    from sunframe.sources import hdf5
+    from sunframe.sources.telemetry import read_hdf5
+
+    folder = tmp_path / "stand_in"
+    folder.mkdir()
+    (folder / "h5py.py").write_text(FAKE_HDF5)
+    monkeypatch.syspath_prepend(str(folder))
+    env = spark.sparkContext.environment
+    monkeypatch.setitem(env, "PYTHONPATH", os.pathsep.join([str(folder), env.get("PYTHONPATH", ""), ROOT]))
+    n = 1000
+    ts = 1_527_811_200_000_000_000 + np.arange(n) * 60_000_000_000
+    values = np.random.default_rng(1).normal(size=(n, 2))
+    values[3, 1] = np.nan
+    np.savez(tmp_path / "raw.npz", **{"DATA/axis0": np.array([b"P_Solar[kW]", b"GHI[kW1m2]"]), "DATA/axis1": ts, "DATA/block0_values": values})
+    monkeypatch.setattr(hdf5, "ROWS", 300)
+    monkeypatch.setattr(hdf5, "BATCH", 128)
+    reader = hdf5.HDF5Reader(str(tmp_path / "raw.npz"))
+    parts = reader.partitions()
+    batches = [b for p in parts for b in reader.read(p)]
+    assert len(parts) == 4 and [len(b) for b in batches] == [128, 128, 44] * 3 + [100]
+    assert np.array_equal(np.concatenate([b.column(0).to_numpy() for b in batches]), ts)
+    got = read_hdf5(spark, str(tmp_path / "raw.npz")).orderBy("ts")
+    assert got.columns == ["ts", "p_solar", "ghi"]
+    rows = got.select(F.unix_micros("ts").alias("us"), "p_solar", "ghi").collect()
+    assert [r["us"] * 1000 for r in rows] == ts.tolist() and [r["p_solar"] for r in rows] == values[:, 0].tolist()
+    assert [i for i, r in enumerate(rows) if r["ghi"] is None] == [3]
 
 
 def test_trees_grow_to_the_depth_that_is_set(spark):
     """Of targets that quadruple, each split takes off the largest."""
     df = spark.createDataFrame([(float(i), 4.0**i) for i in range(20)], "x double, y double")
-    deep = ForestForecaster.fit(df, ["x"], ["y"], HYPER["RF"])
+    whole = HYPER["RF"] | {"bootstrap": False}
+    deep = ForestForecaster.fit(df, ["x"], ["y"], whole)
     assert deep.models[0].trees[0].depth == 19
-    assert ForestForecaster.fit(df, ["x"], ["y"], HYPER["RF"] | {"max_depth": 4}).models[0].trees[0].depth == 4
+    assert ForestForecaster.fit(df, ["x"], ["y"], whole | {"max_depth": 4}).models[0].trees[0].depth == 4
     assert ForecastConfig(model="RF", hyper={"max_depth": 7}).settings["max_depth"] == 7

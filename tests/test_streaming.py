@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from sunframe.operators.thermal import thermal_model
 from sunframe.queries import QUERIES
@@ -26,9 +27,13 @@ def test_late_events_beyond_the_watermark_are_dropped(spark, tmp_path):
     assert got["2024-01-01 00:00:00"] == 2
 
 
-def test_thermal_stream_equals_batch_one_row_late(spark, tmp_path):
+@pytest.mark.parametrize("holes", [False, True])
+def test_thermal_stream_equals_batch_one_row_late(spark, tmp_path, holes):
     r = np.random.default_rng(0)
     rows = [(s, i, float(r.uniform(0, 1)), float(r.uniform(0, 30)), float(r.uniform(0, 8)), 1010.0, 0.5, 20.0) for s in "ab" for i in range(12)]
+    if holes:  # at the start, within and across the files; None and NaN
+        gone = {("a", 0): 2, ("a", 1): 7, ("a", 4): 3, ("a", 5): 3, ("b", 3): 5, ("b", 8): 6, ("b", 9): 4}
+        rows = [(*row[: gone[row[:2]]], None if row[1] % 2 else float("nan"), *row[gone[row[:2]] + 1 :]) if row[:2] in gone else row for row in rows]
     df = spark.createDataFrame(rows, COLUMNS)
     folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     store = "spark.sql.streaming.stateStore.providerClass"
@@ -43,4 +48,6 @@ def test_thermal_stream_equals_batch_one_row_late(spark, tmp_path):
         spark.conf.unset(store)
     got = {(x["series"], x["rn"]): x["temp_module_rp"] for x in spark.read.parquet(out).collect()}
     want = {(x["series"], x["rn"]): x["temp_module_rp"] for x in thermal_model(df, series="series").collect() if x["rn"] < 11}
-    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert set(got) == set(want) and {k for k, v in got.items() if v is None} == {k for k, v in want.items() if v is None}
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want if want[k] is not None)
+    assert (sum(v is None for v in want.values()) == 7) == holes
