@@ -7,6 +7,7 @@ the edits around each hit and reports the span.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -28,8 +29,13 @@ NOTICES = (
     ("this work is licensed under the gnu general public license version 3", "gpl"),
     ("licensed under the gnu lesser general public license", "lgpl"),
     ("licensed under the gnu affero general public license", "agpl"),
+    ("licensed under cc by 4 0", "cc-by"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd"),
+    ("licensed under the gnu general public license", "gpl"),
     ("licensed under a creative commons attribution 4 0 international license", "cc-by"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
@@ -39,6 +45,8 @@ NOTICES = (
 )
 #: Edits allowed: one for so many characters of a notice.
 CHARS_PER_EDIT = 14
+#: Words that tell notices apart. A match has exactly those of its notice, unedited.
+TELLING = frozenset("nc sa nd mit lesser affero".split())
 
 _TO_WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in ASCII_LOWER)
 #: Maps a byte to its lower case if it is part of a word, else to a space.
@@ -64,11 +72,12 @@ class LicenseScanner:
         import regex
 
         self._phrases = [(f" {p} ".encode(), label) for p, label in (PHRASES if phrases is None else phrases).items()]
-        self._notices, seeds = [], {}
+        self._notices, self._telling, self._cost, seeds = [], [], chars_per_edit, {}
         for number, (notice, label) in enumerate(notices):
             edits = max(1, len(notice) // chars_per_edit)
             pattern = regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}")
             self._notices.append((notice, label, edits, pattern))
+            self._telling.append(_telling(notice))
             cuts = [round(i * len(notice) / (edits + 1)) for i in range(edits + 2)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 seeds.setdefault(notice[a:b], []).append((number, a))
@@ -110,16 +119,38 @@ class LicenseScanner:
         return found
 
     def _fuzzy(self, joined: str) -> dict[tuple[str, int, int, int], int]:
-        """Verified notices, with the notice's length."""
-        spans: dict[tuple[str, int, int, int], int] = {}
+        """Verified notices, with the notice's length; of those that overlap, the longest by what its edits leave."""
+        found: set[tuple[int, int, int, int, str, int]] = set()
         for number, ranges in self._windows(joined).items():
             notice, label, _, pattern = self._notices[number]
             for low, high in ranges:
                 for m in _hits(pattern, joined, low, high):
-                    first = joined.count(" ", 0, m.start() + 1) - 1
-                    end = joined.count(" ", 0, m.end()) - (joined[m.end() - 1] == " ")
-                    spans[label, max(0, first), end, sum(m.fuzzy_counts)] = len(notice)
-        return spans
+                    # Whole words: a match may begin or end inside one, or with a space.
+                    start, stop = m.start() + (joined[m.start()] == " "), m.end() - (joined[m.end() - 1] == " ")
+                    start, stop = joined.rfind(" ", 0, start) + 1, joined.find(" ", stop)
+                    if _telling(joined[start:stop]) == self._telling[number]:
+                        first, edits = joined.count(" ", 0, start) - 1, sum(m.fuzzy_counts)
+                        found.add((self._cost * edits - len(notice), -len(notice), first, first + joined.count(" ", start, stop) + 1, label, edits))
+        return best_apart(found)
+
+
+def _telling(words: str) -> list[str]:
+    return [w for w in words.split() if w in TELLING]
+
+
+def best_apart(found) -> dict[tuple[str, int, int, int], int]:
+    """(label, first word, end word, edits) and the notice's length, of matches that do not overlap: the best first."""
+    spans: dict[tuple[str, int, int, int], int] = {}
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, minus, first, end, label, edits in sorted(found):
+        at = bisect_left(starts, end)  # the last taken span that starts before this one ends
+        if at and ends[at - 1] > first:
+            continue
+        starts.insert(at, first)
+        ends.insert(at, end)
+        spans[label, first, end, edits] = -minus
+    return spans
 
 
 def _hits(pattern, joined: str, low: int, high: int):
@@ -145,8 +176,11 @@ def scanner() -> LicenseScanner:
 def license_scans(docs: DataFrame) -> DataFrame:
     """One row a document: words, base places, labels, score and ``spans`` of notices.
 
-    ``score`` is 1 with a base phrase, else the best notice's share of unedited characters, else 0.
-    Null and empty texts have no words, null places, empty labels and score 0. Each row stands for itself.
+    ``score`` is the greatest share of unedited characters of a phrase or notice that was found: 1 with a
+    base phrase, which has no edits, and 0 without any. Of notices that overlap only the best counts.
+    Null and empty texts, and those without words, have null places, empty labels and score 0. Long texts
+    are scanned whole. Each row stands for itself, also with null or repeated ids; repeated rows each stay.
+    Columns but ``doc_id`` and ``text`` do not matter. An empty table gives no rows.
     """
 
     def make():

@@ -98,7 +98,94 @@ def test_seeds_find_what_a_full_search_finds():
                 r.choice([lambda: chars.pop(at), lambda: chars.insert(at, r.choice("abcxyz")), lambda: chars.__setitem__(at, r.choice("abcxyz"))])()
             text = " lorem ipsum " + "".join(chars) + " dolor sit "
             assert regex.search(f"(?:{regex.escape(notice)}){{e<={edits}}}", text)
-            assert label in scanner.scan(text).labels
+            # Words that tell notices apart must stand as they are.
+            kept = [w for w in "".join(chars).split() if w in licenses.TELLING] == [w for w in notice.split() if w in licenses.TELLING]
+            assert (label in scanner.scan(text).labels) or not kept
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    ("licensed under CC BY-ND 4.0", ("cc-by", "cc-by-nd")),
+    ("Licensed under CC BY-NC 4.0", ("cc-by", "cc-by-nc")),
+    ("licensd under CC-BY-NC-SA 4.0", ("cc-by", "cc-by-nc-sa")),
+    ("licensed under CC-BY-NC-ND 4.0", ("cc-by", "cc-by-nc-nd")),
+    ("we released under the wet license plate", ()),
+    ("released under the mat license", ()),
+    ("released under the MIT licence", ("mit",)),
+    ("licensed under the GNU Lesser General Public Licence", ("lgpl",)),
+    ("licensed under the GNU Afferro General Public License", ()),
+    ("licensed under the GNU General Public Licence", ("gpl",)),
+])
+def test_close_notices_are_told_apart(text, labels):
+    assert licenses.scanner().scan(text).labels == labels
+
+
+def brute_notices(text):
+    """(label, first word, end word, edits) by a search of the whole text for every notice, without seeds."""
+    import regex
+
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text))
+    joined, found = " " + " ".join(words) + " ", []
+    for notice, label in licenses.NOTICES:
+        most = max(1, len(notice) // licenses.CHARS_PER_EDIT)
+        todo = [(0, len(joined))]
+        while todo:
+            low, high = todo.pop()
+            m = regex.search(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={most}}}", joined[low:high])
+            if not m:
+                continue
+            start, stop = low + m.start(), low + m.end()
+            todo += [(low, start), (stop, high)]
+            place, touched = 0, []
+            for k, w in enumerate(words):
+                a = place + 1
+                place = a + len(w)
+                if a < stop and place > start:
+                    touched.append(k)
+            telling = [words[k] for k in touched if words[k] in ("nc", "sa", "nd", "mit", "lesser", "affero")]
+            if telling == [w for w in notice.split() if w in ("nc", "sa", "nd", "mit", "lesser", "affero")]:
+                found.append((14 * sum(m.fuzzy_counts) - len(notice), -len(notice), touched[0], touched[-1] + 1, label, sum(m.fuzzy_counts)))
+    taken, out = set(), []
+    for _, _, first, end, label, edits in sorted(found):
+        if not taken & set(range(first, end)):
+            taken |= set(range(first, end))
+            out.append((label, first, end, edits))
+    return sorted(out, key=lambda s: s[1:])
+
+
+def test_op3_labels_spans_and_score_equal_a_search_of_whole_documents(spark):
+    r = random.Random(31)
+    texts = [t for t in documents().values() if t and len(t) < 900][:30]
+    docs = []
+    for i, text in enumerate(texts):
+        words = text.split()
+        for _ in range(r.randint(0, 3)):
+            chars = list(r.choice(licenses.NOTICES)[0])
+            for _ in range(r.randint(0, 3)):
+                chars[r.randrange(len(chars))] = r.choice("aeiou ")
+            words.insert(r.randrange(len(words) + 1), "".join(chars))
+        docs.append((i, " ".join(words)))
+    rows = {x["doc_id"]: x for x in licenses.license_scans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    some = 0
+    for i, text in docs:
+        want = brute_notices(text)
+        assert [tuple(s) for s in rows[i]["spans"]] == want, text
+        base = [x for x in brute_license(text)[4].split(",") if x]
+        assert rows[i]["labels"] == ",".join(sorted({*base, *(w[0] for w in want)}))
+        lengths = {(label, edits): 0 for label, _, _, edits in want}
+        shares = [1 - e / len(n) for label, e in lengths for n, own in licenses.NOTICES if own == label]
+        assert rows[i]["score"] == 1 if base else (not want and rows[i]["score"] == 0) or any(abs(rows[i]["score"] - s) < 1e-12 for s in shares)
+        some += len(want)
+    assert some > 15
+
+
+def test_license_scans_on_edges(spark):
+    rows = licenses.license_scans(edge_docs(spark)).collect()
+    assert len(rows) == len(ROWS)
+    want = sorted((str(i), *map(str, brute_license(t)[:4])) for i, t, _ in ROWS)
+    assert sorted((str(x["doc_id"]), *(str(x[c]) for c in ("n_words", "n_base", "first_word", "last_word"))) for x in rows) == want
+    assert {x["labels"] for x in rows if x["n_base"]} == {"apache"} and all(x["score"] == 0 for x in rows if x["n_words"] == 0)
+    empty = licenses.license_scans(no_docs(spark))
+    assert empty.count() == 0 and empty.columns[:8] == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
 
 
 def test_clean_text_has_no_license():
