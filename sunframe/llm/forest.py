@@ -8,8 +8,8 @@ How many leaves a query visits is measured, not guessed: a few dozen sampled vec
 all rows, and the visits that find the target share of their true neighbours are used for all.
 
 Equal vectors are one point of the index with its smallest ids, as many as a result can show, so a
-vector that a third of all rows share costs one point. Leaves that are too large for a task are dealt
-to blocks and each query visits all of them.
+vector that a third of all rows share costs one point. Points of a leaf are dealt to blocks, and so are
+the queries that visit it: a task compares one block of either, whatever the number of both.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ TREES, LEAF = 4, 1024
 RECALL, MEASURED = 0.95, 128
 #: Vectors that the trees are fitted on, at most; a leaf is split while it has this many of them for each side.
 SAMPLE, LEAST_SAMPLED = 16384, 4
-#: Vectors of a leaf that one task compares at once.
-BLOCK = 8192
+#: Vectors of a leaf, and queries that visit it, that one task compares.
+BLOCK, QUERY_BLOCK = 8192, 16384
 SEED = 11
 
 
@@ -142,14 +142,14 @@ def _index_rows(forest: Forest, width: int, blocks: int):
             leaves = forest.file(_matrix(b.column(1), width))
             rows = np.repeat(np.arange(len(b)), leaves.shape[1])
             point = b.column(0).take(pa.array(rows))
-            block = point.to_numpy() % blocks
-            yield pa.RecordBatch.from_arrays([pa.array(leaves.ravel() * blocks + block), point, b.column(2).take(pa.array(rows)), b.column(1).take(pa.array(rows))], ["leaf", "point", "ids", "v"])
+            block = (point.to_numpy() * 0x9E3779B1 >> 7) % blocks  # ids of a kind, such as even ones, go to all blocks
+            yield pa.RecordBatch.from_arrays([pa.array(leaves.ravel()), pa.array(block), point, b.column(2).take(pa.array(rows)), b.column(1).take(pa.array(rows))], ["leaf", "block", "point", "ids", "v"])
 
     return run
 
 
-def _query_rows(forest: Forest, sample: Broadcast, width: int, blocks: int, visits: int, k: int):
-    """The leaves each query visits, and a score that its k + 1 best in them reach at least: that of the sample's vectors there."""
+def _query_rows(forest: Forest, sample: Broadcast, width: int, visits: int, k: int):
+    """Each query with the leaves it visits, and a score that its k + 1 best in them reach at least: that of the sample's vectors there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = sample.value
@@ -162,9 +162,7 @@ def _query_rows(forest: Forest, sample: Broadcast, width: int, blocks: int, visi
                 met = seen[np.isin(filed, leaves).any(axis=1)]
                 if len(met) > k:
                     least[i] = np.partition(met @ asked[i], len(met) - k - 1)[len(met) - k - 1]
-            leaf = np.array([x * blocks + part for f in found for x in f for part in range(blocks)], np.int64)
-            rows = pa.array(np.repeat(np.arange(len(b)), [len(f) * blocks for f in found]), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), b.column(0).take(rows), b.column(1).take(rows), pa.array(least).take(rows)], ["leaf", "query_id", "q", "least"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(least), pa.array(found, pa.list_(pa.int64()))], ["query_id", "q", "least", "leaves"])
 
     return run
 
@@ -213,7 +211,7 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("point", pa.int64()), ("ids", pa.
 
 
 def _rerank(width: int, k: int):
-    """The k + 1 best points of a leaf for each query, if they reach its least score: one of them may be the query itself."""
+    """The k + 1 best points of a block for each query of a block, if they reach its least score: one of them may be the query itself."""
 
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(index) or not len(queries):
@@ -241,12 +239,13 @@ def _rerank(width: int, k: int):
     return run
 
 
-def neighbours(vectors: DataFrame, is_query: Column, k: int = K, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def neighbours(vectors: DataFrame, is_query: Column, k: int = K, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, recall: float = RECALL, block: int | None = None, query_block: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` nearest found, by the largest inner product.
 
     Candidates are all rows but those with the query's own id. Fewer candidates than ``k`` give fewer
-    rows. Rows that repeat an id and its vector count once; two vectors under one id are two points and,
-    as queries, share one list. An empty table gives no rows.
+    rows; ties go to the smaller id. Rows that repeat an id and its vector count once; two vectors under
+    one id are two points and, as queries, share one list. Null, zero and non-finite vectors and rows
+    without an id take no part (see :func:`clean`); other columns do not matter. An empty table gives no rows.
     """
     prepare(vectors.sparkSession)
     rows = written(clean(vectors), "forest-vectors")
@@ -262,10 +261,21 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, trees: int = TR
     forest = Forest(x, math.sqrt(size["norm"] or 0.0), math.ceil(math.log2(max(1.0, n / leaf))), trees)
     visits = visits_for(points, forest, x[:MEASURED], own[:MEASURED], k, recall)
     shared = vectors.sparkSession.sparkContext.broadcast(x)  # at most ``sample`` vectors
-    blocks = max(1, math.ceil(n / max(1, min(t.leaves for t in forest.trees)) / BLOCK))
-    filed = points.select("point", "v", "ids").mapInArrow(_index_rows(forest, width, blocks), f"leaf long, point long, ids array<long>, v {kind}")
-    asked = rows.filter(is_query).select("vec_id", "v").mapInArrow(_query_rows(forest, shared, width, blocks, visits, k), f"leaf long, query_id long, q {kind}, least double")
-    found = filed.groupBy("leaf").cogroup(asked.groupBy("leaf")).applyInArrow(_rerank(width, k), "query_id long, point long, ids array<long>, score double")
+    blocks = max(1, math.ceil(n / max(1, min(t.leaves for t in forest.trees)) / (block or BLOCK)))
+    query_block = query_block or QUERY_BLOCK
+    filed = points.select("point", "v", "ids").mapInArrow(_index_rows(forest, width, blocks), f"leaf long, block long, point long, ids array<long>, v {kind}")
+    asked = rows.filter(is_query).select("vec_id", "v").mapInArrow(_query_rows(forest, shared, width, visits, k), f"query_id long, q {kind}, least double, leaves array<long>")
+    asked = written(asked, "forest-queries")
+    # One row a leaf that many queries visit; leaves are bounded by the sample.
+    busy = asked.select(F.explode("leaves").alias("busy")).groupBy("busy").count().filter(F.col("count") > query_block)
+    busy = F.broadcast(written(busy.select("busy", F.ceil(F.col("count") / query_block).cast("int").alias("parts")), "forest-busy"))
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    asked = asked.select("query_id", "q", "least", F.explode("leaves").alias("leaf"))
+    asked = asked.join(busy, asked["leaf"] == busy["busy"], "left").withColumn("part", F.pmod(F.xxhash64("query_id", "q"), parts.cast("long")).cast("int"))
+    asked = asked.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "part", "query_id", "q", "least")
+    filed = filed.join(busy, filed["leaf"] == busy["busy"], "left").select(*filed.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    cell = ("leaf", "block", "part")
+    found = filed.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(_rerank(width, k), "query_id long, point long, ids array<long>, score double")
     # A point found in several trees has one score, so it has one dense rank.
     place = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "point"))
     best = found.withColumn("place", place).filter(F.col("place") <= k + 1)

@@ -76,3 +76,18 @@ def test_blocks_of_a_leaf_change_nothing(spark, monkeypatch):
     whole = sorted(map(tuple, forest.neighbours(df, F.col("vec_id") % 20 == 0).collect()))
     monkeypatch.setattr(forest, "BLOCK", 40)
     assert sorted(map(tuple, forest.neighbours(df, F.col("vec_id") % 20 == 0).collect())) == whole
+    rerank = forest._rerank
+
+    def spied(width, k):
+        run = rerank(width, k)
+
+        def watched(index, queries):
+            if len(index) > 60 or len(queries) > 12:
+                raise ValueError(f"{len(index)} points and {len(queries)} queries in one task")
+            return run(index, queries)
+
+        return watched
+
+    monkeypatch.setattr(forest, "_rerank", spied)
+    monkeypatch.setattr(forest, "QUERY_BLOCK", 4)
+    assert sorted(map(tuple, forest.neighbours(df, F.col("vec_id") % 20 == 0).collect())) == whole
