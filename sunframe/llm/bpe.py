@@ -170,7 +170,11 @@ def codec(path: str) -> PrefixBPE:
 
 
 def encode_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``doc_id, ids array<int>`` of every whole text; null and empty texts have no ids. Each row stands for itself."""
+    """``doc_id, ids array<int>`` of every whole text, however long; null and empty texts have no ids.
+
+    Each row stands for itself, also with null or repeated ids; repeated rows each stay. Columns but
+    ``doc_id`` and ``text`` do not matter. An empty table gives no rows.
+    """
     path = tokenizer or default_tokenizer()
 
     def make():
@@ -180,7 +184,10 @@ def encode_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``doc_id, text`` from ``doc_id, ids``; null ids decode to the empty text."""
+    """``doc_id, text`` from ``doc_id, ids``; null and empty ids decode to the empty text.
+
+    Each row stands for itself, also with a null or repeated ``doc_id``; an empty table gives no rows.
+    """
     path = tokenizer or default_tokenizer()
 
     def run(batches):
@@ -192,7 +199,12 @@ def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFr
 
 
 def digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: ids and the text decoded from them, of every whole text."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: ids and the text decoded from them, of every whole text.
+
+    Null and empty texts have no ids and both digests of nothing; long texts are encoded whole. Each row
+    stands for itself, also with null or repeated ids; repeated rows each stay. Columns but ``doc_id`` and
+    ``text`` do not matter. An empty table gives no rows.
+    """
     path = tokenizer or default_tokenizer()
 
     def make():

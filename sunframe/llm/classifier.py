@@ -193,8 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineCRF:
 def quality_scores(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every whole text.
 
-    Only a text's lines enter its score. Null and empty texts are one empty line. Each row stands for
-    itself, also with null or repeated ids.
+    Only a text's lines enter its score, all of them, however long the text. Null and empty texts are one
+    empty line. Each row stands for itself, also with null or repeated ids; repeated rows each stay. Other
+    columns do not matter. An empty table gives no rows; without labels every score is one half.
     """
     model = train(docs, labels)
 
@@ -206,7 +207,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Stage: the rows of ``docs`` that score at least ``cutoff``, all columns."""
+    """Stage: the rows of ``docs`` that score at least ``cutoff``, all columns.
+
+    Null and empty texts are scored as one empty line, long ones whole. Rows with null or repeated ids are
+    judged by their text alone; repeated rows go or stay together. Columns of any name pass through. An
+    empty table gives no rows; without labels every score is one half, and the default cutoff keeps none.
+    """
     model = train(docs, labels)
     return text_filter(docs, lambda: lambda texts: (model.score(texts) >= cutoff).tolist())
 
