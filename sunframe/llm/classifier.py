@@ -11,13 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import map_texts, prepare, table, text_filter
+from sunframe.llm.common import map_texts, prepare, table, text_filter, written
 
 #: Labelled documents that the model is fitted on, at most; chosen by a hash of their id.
 SAMPLE = 6000
+#: Lines of one document that is learnt from, and of all together, at most: a longer document does not teach.
+LONGEST, MOST_LINES = 20_000, 1_000_000
 #: Score from which a document counts as good.
 CUTOFF = 0.7
 STEPS, RATE, RIDGE = 150, 0.1, 1e-3
@@ -162,7 +164,9 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineCRF:
     """Fit on at most ``sample`` labelled documents that are not held out, chosen by a hash of their id.
 
-    Conflicting labels of a document count as the lowest. Only the sample's line features, a few bytes
+    Conflicting labels of a document count as the lowest; rows that repeat a document teach once, and those
+    over ``LONGEST`` lines do not. Documents beyond ``MOST_LINES`` together are left out, in the order of
+    the hash. Only the sample's line features, a few bytes
     a line, reach the driver. Without labels every score is one half.
     """
     spark = prepare(docs.sparkSession)
@@ -178,11 +182,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineCRF:
         def work(batch):
             own, _, per_text = line_features(batch)
             cuts = np.cumsum(per_text)
-            return [pa.array([own[e - n : e].tobytes() for e, n in zip(cuts, per_text, strict=True)], pa.binary())]
+            return [pa.array([own[e - n : e].tobytes() if n <= LONGEST else None for e, n in zip(cuts, per_text, strict=True)], pa.binary()), pa.array(per_text, pa.int64())]
 
         return work
 
-    found = map_texts(texts, make, "features binary").orderBy(F.xxhash64("doc_id", "features"), "doc_id", "features").limit(sample).collect()
+    made = map_texts(texts, make, "features binary, n long").filter("features is not null").withColumn("h", F.xxhash64("doc_id", "features"))
+    made = written(made.dropDuplicates(["doc_id", "h"]), "classifier-lines")
+    # A window over at most ``sample`` rows.
+    few = made.select("doc_id", "h", "n").orderBy("h", "doc_id").limit(sample)
+    few = few.withColumn("lines", F.sum("n").over(Window.orderBy("h", "doc_id"))).filter(F.col("lines") <= MOST_LINES)
+    few = F.broadcast(few.select(F.col("doc_id").alias("i"), F.col("h").alias("g")))
+    found = made.join(few, (made["doc_id"] == few["i"]) & (made["h"] == few["g"]), "left_semi").orderBy("h", "doc_id").select("doc_id", "features").collect()
     if not found:
         return LineCRF(np.zeros(3 * WIDTH + 3), np.zeros((2, 2)))
     own = [np.frombuffer(r["features"], np.uint8).reshape(-1, WIDTH) for r in found]

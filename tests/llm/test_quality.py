@@ -244,6 +244,19 @@ def test_held_out_labels_change_nothing(spark):
     assert np.array_equal(a.weights, b.weights) and np.array_equal(a.transitions, b.transitions)
 
 
+def test_the_sample_is_bounded_in_lines(spark, monkeypatch):
+    rows = [(i, ("a good line of plain words here\n" if i % 2 else "$$$ ### !!!\n") * (3 if i else 400)) for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(classifier.LineCRF, "fit", classmethod(lambda cls, own, per_text, label: seen.append(per_text) or cls(np.zeros(3 * classifier.WIDTH + 3), np.zeros((2, 2)))))
+    classifier.train(docs.union(docs), labels)
+    assert len(seen[-1]) == len(rows) and max(seen[-1]) == 401
+    monkeypatch.setattr(classifier, "MOST_LINES", 50)
+    classifier.train(docs.filter("doc_id > 0"), labels)
+    assert sum(seen[-1]) == 48
+
+
 def test_classifier_on_edges(spark):
     docs, labels = edge_docs(spark), edge_labels(spark)
     rows = classifier.quality_scores(docs, labels).collect()
