@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from sunframe.plant import PV, WT
 
 H, PRE = 10, 5
@@ -207,6 +210,92 @@ DEMAND = f"""with d as (select row_number() over (order by l_shipdate) - 1 as rn
  p as ({" union all ".join(f"select {i} as h, q as forecast, y{i} as observed from s where sample_id >= n - ceil(0.1*n)" for i in range(1, 6))})
  select h::int as h, {r("avg((forecast-observed)*(forecast-observed))", "mse")}, {r("sqrt(avg((forecast-observed)*(forecast-observed)))", "rmse")}, {r("avg(abs(forecast-observed))", "mae")} from p group by h"""
 
+class _Unrolled:
+    """A network written out as one SELECT a layer and step: every unit is a column."""
+
+    def __init__(self) -> None:
+        self._weights, self._names, self.tables = itertools.count(), itertools.count(), []
+
+    def weights(self, *shape: int) -> list:
+        """The given weights, in the order in which networks hold them."""
+        if len(shape) == 1:
+            return [0.4 * math.sin(1.0 + 7.0 * next(self._weights)) for _ in range(shape[0])]
+        return [self.weights(*shape[1:]) for _ in range(shape[0])]
+
+    def add(self, expressions: list[str]) -> list[str]:
+        """Columns of the next table."""
+        names = [f"u{next(self._names)}" for _ in expressions]
+        before = f"net{len(self.tables) - 1}" if self.tables else "framed"
+        self.tables.append(f"net{len(self.tables)} as materialized (select *, {', '.join(f'{e} as {n}' for e, n in zip(expressions, names, strict=True))} from {before})")
+        return names
+
+    @staticmethod
+    def affine(terms: list[tuple[str, float]], bias: float) -> str:
+        return " + ".join([f"{x}*({w!r})" for x, w in terms] + [f"({bias!r})"])
+
+    @staticmethod
+    def active(kind: str, z: str) -> str:
+        return {"linear": f"({z})", "tanh": f"tanh({z})", "relu": f"greatest({z}, 0.0)", "sigmoid": f"1/(1 + exp(-({z})))"}[kind]
+
+    def dense(self, steps: list[list[str]], width: int, kind: str) -> list[list[str]]:
+        w, b = self.weights(len(steps[0]), width), self.weights(width)
+        return [self.add([self.active(kind, self.affine([(x, w[i][o]) for i, x in enumerate(step)], b[o])) for o in range(width)]) for step in steps]
+
+    def convolution(self, steps: list[list[str]], filters: int, size: int, left: int, kind: str) -> list[list[str]]:
+        w, b = self.weights(size, len(steps[0]), filters), self.weights(filters)
+        out = []
+        for t in range(len(steps)):
+            seen = [(k, t + k - left) for k in range(size) if 0 <= t + k - left < len(steps)]
+            out.append(self.add([self.active(kind, self.affine([(x, w[k][i][o]) for k, at in seen for i, x in enumerate(steps[at])], b[o])) for o in range(filters)]))
+        return out
+
+    def pool(self, steps: list[list[str]], size: int) -> list[list[str]]:
+        parts = [steps[i : i + size] for i in range(0, len(steps), size)]
+        return [self.add([f"greatest({', '.join(column)})" for column in zip(*part, strict=True)]) for part in parts]
+
+    def memory(self, steps: list[list[str]], units: int, kind: str) -> list[list[str]]:
+        """Gates in the order input, forget, cell, output; steps are never the mask value here."""
+        kernel, recurrent, b = self.weights(len(steps[0]), 4 * units), self.weights(units, 4 * units), self.weights(4 * units)
+        h, c, out = ["0.0::double"] * units, ["0.0::double"] * units, []
+        for step in steps:
+            z = [self.affine([(x, kernel[i][g]) for i, x in enumerate(step)] + [(x, recurrent[i][g]) for i, x in enumerate(h)], b[g]) for g in range(4 * units)]
+            gates = self.add([self.active(kind if 2 * units <= g < 3 * units else "sigmoid", e) for g, e in enumerate(z)])
+            i, f, g, o = (gates[k * units : (k + 1) * units] for k in range(4))
+            c = self.add([f"{f[u]}*{c[u]} + {i[u]}*{g[u]}" for u in range(units)])
+            h = self.add([f"{o[u]}*{self.active(kind, c[u])}" for u in range(units)])
+            out.append(h)
+        return out
+
+
+def network_query(model: str) -> str:
+    """Forecasts of the small networks with given weights."""
+    net = _Unrolled()
+    steps = [net.add([f"{f}_lag{i}/10" if i else f"{f}_now/10" for f in FEATURES]) for i in range(PRE, -1, -1)]
+    if model == "CNN":
+        steps = net.dense(net.convolution(steps, 3, 2, 0, "tanh"), 2, "linear")
+        steps = net.dense(net.pool(steps, 3), 3, "relu")
+        last = net.dense([[x for step in steps for x in step]], 2, "tanh")
+    elif model == "LSTM":
+        steps = net.memory(net.memory(net.dense(steps, 2, "linear"), 3, "tanh"), 2, "tanh")
+        last = net.dense(net.dense(steps[-1:], 3, "relu"), 2, "linear")
+    else:
+        steps = net.dense(net.convolution(steps, 3, 3, 2, "tanh"), 2, "linear")
+        steps = net.dense(net.pool(steps, 2), 3, "relu")
+        last = net.dense(net.memory(net.memory(steps, 3, "sigmoid"), 2, "sigmoid")[-1:], 2, "sigmoid")
+    rows = " union all ".join(f"select rn::bigint as rn, {h}::int as h, {r(x, 'forecast')} from net{len(net.tables) - 1}" for h, x in enumerate(last[0], 1))
+    return sql(", " + ",\n".join(net.tables) + " " + rows, "framed")
+
+
+def _points(name: str, xs: tuple[float, ...], ys: tuple[float, ...]) -> str:
+    return " union all ".join(f"select '{name}' as curve, {i}::int as point, {x}::double as x, {y}::double as y" for i, (x, y) in enumerate(zip(xs, ys, strict=True)))
+
+
+_PANELS = "select ts, t, unnest(['poa_irr', 'p_solar', 'wind_speed', 'p_wind']) as panel, unnest([poa_irr, p_solar, wind_speed, p_wind]) as value from telemetry"
+_KINDS = " union all ".join(
+    f"select '{kind}' as kind, {i} as h, {c} - p_solar_lead{i} as gap from tree where split='test'" for kind, c in (("forecaster", "mean_prev_h_now"), ("persistence", "p_solar_now")) for i in range(1, H + 1)
+)
+_BY_KIND = f", k as (select kind, h, sqrt(avg(gap*gap)) as rmse, avg(abs(gap)) as mae, avg(gap*gap) as mse from ({_KINDS}) group by all)"
+
 ORACLES = {
     "resample_hourly": f"select epoch(date_trunc('hour',ts))::bigint as t, count(*)::bigint as n, {r('avg(value)', 'av')}, {r('min(value)', 'mn')}, {r('max(value)', 'mx')} from events group by date_trunc('hour',ts)",
     "resample_unknown": f"""select epoch(date_trunc('hour',ts))::bigint as t, count(*)::bigint as n, {r('avg(x)', 'av')}, {r('min(x)*1e6', 'mn')}, {r('max(x)', 'mx')}
@@ -263,6 +352,14 @@ ORACLES = {
     "thermal_relaxation": RELAXATION,
     "thermal_full": THERMAL,
     "demand_daily_framing": DEMAND,
+    "cnn_given_weights": network_query("CNN"),
+    "lstm_given_weights": network_query("LSTM"),
+    "cnn_lstm_given_weights": network_query("CNN_LSTM"),
+    "plot_data": sql(f"select t, panel, {r('value', 'value')} from ({_PANELS})", "telemetry"),
+    "plot_data_daily": sql(f"select epoch(date_trunc('day', ts))::bigint as t, panel, {r('min(value)', 'low')}, {r('avg(value)', 'value')}, {r('max(value)', 'high')} from ({_PANELS}) group by date_trunc('day', ts), panel", "telemetry"),
+    "plot_curves": " union all ".join([_points("turbine", WT.speed, WT.power), *(_points(f"inverter_{s.name}", s.eff_p, s.eff_percent) for s in PV.strings)]),
+    "plot_rmse": sql(f"{_BY_KIND} select h::int as h, {r("max(rmse) filter (kind = 'forecaster')", 'forecaster')}, {r("max(rmse) filter (kind = 'persistence')", 'persistence')} from k group by h", "tree"),
+    "plot_rmse_title": sql(f"{_BY_KIND} select {r('round(avg(rmse), 3)', 'rmse')}, {r('round(avg(mae), 3)', 'mae')}, {r('round(avg(mse), 3)', 'mse')} from k where kind = 'forecaster'", "tree"),
     "import_expanded": sql(f"select rn::bigint as rn, {r('p_solar', 'p_solar')}, {r('mean_prev_h', 'mean_prev_h')} from expanded", "expanded"),
     "results_round_trip": sql(f"select sample_id, h::int as h, {r('forecast', 'value')} from pairs", "pairs"),
     "stream_hourly": f"select epoch(date_trunc('hour',ts))::bigint as t, count(*)::bigint as n, {r('avg(value)', 'av')}, {r('min(value)', 'mn')}, {r('max(value)', 'mx')} from events group by date_trunc('hour',ts)",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.config import DERIVED, THERMAL, ForecastConfig
+from sunframe.config import DERIVED, HYPER, THERMAL, ForecastConfig
 from sunframe.functions.columns import epoch_ns_to_ts, epoch_s, hour_of_day, interp, require_columns, rounded
+from sunframe.models.networks import Network, NetworkForecaster
 from sunframe.models.persistence import cross_scaled, daily_persistence, persistence
 from sunframe.operators import align, evaluate, scaling
 from sunframe.operators.features import expand, rolling, rolling_features
@@ -17,6 +19,7 @@ from sunframe.operators.position import bucket_window, numbered, owned, with_hal
 from sunframe.operators.pv import clean_curtailment, clean_power, pv_performance, turbine_power
 from sunframe.operators.split import chronological
 from sunframe.operators.thermal import relaxation, thermal_model
+from sunframe.plans import figures
 from sunframe.plans.forecast import load, run
 from sunframe.plant import PV
 from sunframe.session import prepared
@@ -415,6 +418,74 @@ def loss_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed(made, "loss", "val_loss", keys=["epoch"])
 
 
+@query
+def plot_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four panels of the overview, every row."""
+    return keyed(figures.data_plot(telemetry(spark, sf_dir)), "value", keys=[epoch_s(F.col("ts")).alias("t"), "panel"])
+
+
+@query
+def plot_data_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a band by day."""
+    return keyed(figures.data_plot(telemetry(spark, sf_dir), interval="1 day"), "low", "value", "high", keys=[epoch_s(F.col("ts")).alias("t"), "panel"])
+
+
+@query
+def plot_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Power curve of the turbine and efficiency curves of the inverters."""
+    return figures.curves(spark)
+
+
+def kinds_of_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors by kind; the mean of the last hours stands for a forecaster."""
+    test = split(spark, sf_dir).filter("split = 'test'")
+    made = {"forecaster": "mean_prev_h_now", "persistence": "p_solar_now"}
+    rows = test.select("sample_id", *[persistence(F.col(c), H).alias(k) for k, c in made.items()], F.array(*OUTPUTS).alias("observed"))
+    parts = [evaluate.errors_by_horizon(evaluate.paired(rows, k, "observed")).withColumn("kind", F.lit(k)) for k in made]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def plot_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed(figures.error_plot(kinds_of_errors(spark, sf_dir)), "forecaster", "persistence", keys=["h"])
+
+
+@query
+def plot_rmse_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed(figures.error_title(kinds_of_errors(spark, sf_dir)), "rmse", "mae", "mse", keys=[])
+
+
+#: Small networks whose weights are given, so that SQL can compute the same forecasts.
+FIXED = {
+    "CNN": {"filters": 3, "dense": [2, 3]},
+    "LSTM": {"neurons": [3, 2], "dense": [2, 3]},
+    "CNN_LSTM": {"filters": 3, "neurons": [3, 2], "dense": [2, 3]},
+}
+FIXED_HORIZON = 2
+
+
+def _fixed(model: str) -> Query:
+    def fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+        net = Network(model, PRE + 1, len(FEATURES), FIXED_HORIZON, HYPER[model] | FIXED[model])
+        at, values = 0, []
+        for w in net.weights:
+            values.append(0.4 * np.sin(1.0 + 7.0 * np.arange(at, at + w.size)).reshape(w.shape))
+            at += w.size
+        net.set_weights(values)
+        rows = tensors(framed(spark, sf_dir), FEATURES, "p_solar", PRE, H)
+        small = rows.withColumn("x", F.transform("x", lambda step: F.transform(step, lambda v: v / 10)))
+        made = NetworkForecaster(net, []).predict(small)
+        return keyed(made.select("rn", F.posexplode("forecast").alias("i", "forecast")), "forecast", keys=["rn", (F.col("i") + 1).alias("h")])
+
+    return fixed
+
+
+for _model in FIXED:
+    _made = _fixed(_model)
+    _made.__name__ = f"{_model.lower()}_given_weights"
+    query(_made)
+
+
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly view as a stream over the same files (an extension), run to the end of what is there."""
