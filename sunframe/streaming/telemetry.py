@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sunframe.functions.columns import clean_nan
-from sunframe.operators.thermal import DAMPING, KELVIN, LIMIT, thermal_step
+from sunframe.operators.thermal import DAMPING, KELVIN, LIMIT, THERMAL_INPUTS, balance, surroundings
 
 COLUMNS = "series string, rn long, poa_irr double, temperature double, wind_speed double, pressure double, humidity double, temp_module double"
-_INPUTS = ["poa_irr", "temperature", "wind_speed", "pressure", "humidity"]
 
 
 def read_events(spark: SparkSession, folder: str, name: str = "events") -> DataFrame:
@@ -39,25 +39,25 @@ class ThermalProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("state", "t double, known boolean, rn long, value double, open boolean")
-        self._step = thermal_step()
+        self._step = balance()
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         part = pd.concat(list(rows)).sort_values("rn")
         # State of the panel, whether there is one yet, and the last row: its value and whether it may be rewritten.
         t, known, rn, value, open_ = self._state.get() if self._state.exists() else (0.0, False, None, None, False)
         out: list[tuple[str, int, float | None]] = []
-        for row in part.itertuples(index=False):
-            inputs = [getattr(row, c) for c in (*_INPUTS, "temp_module")]
-            unknown = any(pd.isna(x) for x in inputs)
+        around = surroundings(part[list(THERMAL_INPUTS)].to_numpy(dtype=float, na_value=np.nan))
+        unknowns = ~np.isfinite(around).all(axis=1)
+        for at, unknown, inputs in zip(part["rn"].tolist(), unknowns.tolist(), around.tolist(), strict=True):
             if not unknown:
-                new = self._step(t if known else KELVIN + inputs[-1], inputs[:-1])
+                new = self._step(t if known else inputs[-1], inputs)
                 if known and abs(new - t) >= LIMIT:
                     new = t + DAMPING * (new - t)
                     value = new - KELVIN if open_ else value
                 t, known = float(new), True
             if rn is not None:
                 out.append((key[0], int(rn), value))
-            rn, value, open_ = int(row.rn), None if unknown else t - KELVIN, not unknown
+            rn, value, open_ = int(at), None if unknown else t - KELVIN, not unknown
         if rn is not None:
             self._state.update((t, known, rn, value, open_))
         yield pd.DataFrame(out, columns=["series", "rn", "temp_module_rp"]).astype({"temp_module_rp": float})

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunframe.operators.pv import clean_power, pv_performance, turbine_power
-from sunframe.operators.thermal import KELVIN, clamped_humidity, humid_air, relaxation, sequential, thermal_model, thermal_step
+from sunframe.operators.thermal import KELVIN, balance, clamped_humidity, humid_air, relaxation, sequential, surroundings, thermal_model
 from sunframe.plant import PV
 
 
@@ -146,5 +146,13 @@ def test_thermal_model_equals_plain_version(spark):
 
 
 def test_still_air_falls_back(spark):
-    step = thermal_step()
-    assert step(300.0, (0.0, 300.0 - KELVIN, 0.0, 1010.0, 0.5)) == pytest.approx(300.0)
+    row = surroundings(np.array([[0.0, 300.0 - KELVIN, 0.0, 1010.0, 0.5, 20.0]]))[0]
+    assert balance()(300.0, row.tolist()) == pytest.approx(300.0)
+
+
+def test_air_without_properties_is_unknown(spark):
+    good, none = (0.5, 20.0, 2.0, 1010.0, 0.5, 20.0), (0.5, 20.0, 2.0, 0.0, 0.5, 20.0)
+    schema = "rn long, poa_irr double, temperature double, wind_speed double, pressure double, humidity double, temp_module double"
+    out = [r["temp_module_rp"] for r in thermal_model(spark.createDataFrame([(i, *x) for i, x in enumerate((none, good, none, good))], schema)).orderBy("rn").collect()]
+    assert [x is None for x in out] == [True, False, True, False]
+    assert np.allclose([out[1], out[3]], plain_thermal([good, good]), rtol=1e-10)
