@@ -7,7 +7,7 @@ are fitted in parallel and their forecasts averaged by size. With one block it i
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from typing import Any
 
 import numpy as np
@@ -15,9 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunframe.sources.scratch import materialised
+
 KERNELS = ("linear", "poly", "rbf", "sigmoid", "precomputed")
 #: Training rows of one kernel matrix.
 BLOCK = 2000
+#: About as many rows are scored by a task at once.
+CHUNK = 4096
 
 
 def kernel(a: np.ndarray, b: np.ndarray, kind: str, gamma: float, degree: int, coef0: float) -> np.ndarray:
@@ -69,11 +73,27 @@ def _fit(settings: dict[str, Any]):
     return run
 
 
+def _score(inputs: int, horizon: int, settings: dict[str, Any]):
+    def run(rows: pd.DataFrame, machines: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(rows["x"].tolist(), float).reshape(len(rows), inputs)
+        sums, weights = np.zeros((len(x), horizon)), np.zeros(horizon)
+        for h, n, gamma, beta, support in zip(*(machines[c] for c in ("h", "rows", "gamma", "beta", "support")), strict=True):
+            if len(beta):
+                vectors = np.array(support.tolist(), float).reshape(len(beta), inputs)
+                sums[:, h] += n * ((kernel(x, vectors, settings["kernel"], gamma, settings["degree"], settings["coef0"]) + 1.0) @ beta)
+            weights[h] += n
+        return pd.DataFrame({"_key": rows["_key"], "sums": list(sums), "weights": [weights] * len(x)})
+
+    return run
+
+
 class SVRForecaster:
-    """``parts``: (h, rows, gamma, beta, support vectors), at most the training rows once a step."""
+    """``machines``: a table of (h, block, rows, gamma, beta, support), which never passes through the driver."""
 
-    def __init__(self, inputs: Sequence[str], horizon: int, settings: dict[str, Any], parts: list[tuple]) -> None:
-        self.inputs, self.horizon, self.settings, self.parts = list(inputs), horizon, settings, parts
+    SCHEMA = "h int, block long, rows long, gamma double, beta array<double>, support array<array<double>>"
+
+    def __init__(self, inputs: Sequence[str], horizon: int, settings: dict[str, Any], machines: DataFrame) -> None:
+        self.inputs, self.horizon, self.settings, self.machines = list(inputs), horizon, settings, machines
 
     @classmethod
     def fit(cls, train: DataFrame, inputs: Sequence[str], outputs: Sequence[str], settings: dict[str, Any], block: int = BLOCK) -> SVRForecaster:
@@ -81,35 +101,33 @@ class SVRForecaster:
         x = F.array(*[F.col(f"`{c}`").cast("double") for c in inputs])
         y = F.array(*[F.col(f"`{c}`").cast("double") for c in outputs])
         rows = train.select(x.alias("x"), F.floor(F.col("sample_id") / block).alias("block"), F.posexplode(y).alias("h", "y"))
-        fitted = rows.groupBy("h", "block").applyInPandas(_fit(settings), "h int, block long, rows long, gamma double, beta array<double>, support array<array<double>>")
-        parts = [(r["h"], r["rows"], r["gamma"], np.array(r["beta"]), np.array(r["support"]).reshape(-1, len(inputs))) for r in fitted.collect()]
-        return cls(inputs, len(outputs), settings, sorted(parts, key=lambda p: (p[0], p[1])))
-
-    def forecast(self, x: np.ndarray) -> np.ndarray:
-        out, weight = np.zeros((len(x), self.horizon)), np.zeros(self.horizon)
-        s = self.settings
-        for h, rows, gamma, beta, support in self.parts:
-            if len(beta):
-                out[:, h] += rows * ((kernel(x, support, s["kernel"], gamma, s["degree"], s["coef0"]) + 1.0) @ beta)
-            weight[h] += rows
-        return out / np.maximum(weight, 1)
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``forecast array<double>``."""
-        model = self
-
-        @F.pandas_udf("array<double>")
-        def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for x in parts:
-                yield pd.Series(list(model.forecast(np.array(x.tolist(), float)))) if len(x) else pd.Series([], dtype=object)
-
-        return df.withColumn("forecast", run(F.array(*[F.col(f"`{c}`").cast("double") for c in self.inputs])))
-
-    def save(self, spark: SparkSession, path: str) -> None:
-        rows = [(h, n, g, b.tolist(), s.tolist()) for h, n, g, b, s in self.parts]
-        spark.createDataFrame(rows, "h int, rows long, gamma double, beta array<double>, support array<array<double>>").write.mode("overwrite").parquet(path)
+        fitted = rows.groupBy("h", "block").applyInPandas(_fit(settings), cls.SCHEMA)
+        return cls(inputs, len(outputs), settings, materialised(fitted, "machines"))
+
+    def predict(self, df: DataFrame, key: str = "sample_id") -> DataFrame:
+        """``df`` with ``forecast array<double>``; ``key`` tells its rows apart.
+
+        Rows are dealt to chunks and machines lie in blocks; a task scores one chunk by the machines of one
+        block, and the sums meet by key. Without machines forecasts are zero.
+        """
+        rows = df.select(F.col(key).alias("_key"), F.array(*[F.col(f"`{c}`").cast("double") for c in self.inputs]).alias("x"))
+        chunks, blocks = -(-rows.count() // CHUNK), self.machines.agg(F.max("block") + 1).first()[0]
+        zeros = F.array(*[F.lit(0.0)] * self.horizon)
+        if not chunks or not blocks:
+            return df.withColumn("forecast", zeros)
+        by = ["_chunk", "block"]
+        dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("_key"), F.lit(chunks))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
+        copied = self.machines.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")))
+        score = _score(len(self.inputs), self.horizon, self.settings)
+        schema = f"_key {rows.schema['_key'].dataType.simpleString()}, sums array<double>, weights array<double>"
+        parts = dealt.groupBy(*by).cogroup(copied.groupBy(*by)).applyInPandas(score, schema)
+        mean = [F.sum(F.col("sums")[i]) / F.greatest(F.sum(F.col("weights")[i]), F.lit(1.0)) for i in range(self.horizon)]
+        made = parts.groupBy("_key").agg(F.array(*mean).alias("forecast"))
+        return df.join(made, df[key] == made["_key"]).drop("_key")
+
+    def save(self, path: str) -> None:
+        self.machines.write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, inputs: Sequence[str], horizon: int, settings: dict[str, Any]) -> SVRForecaster:
-        rows = spark.read.parquet(path).collect()
-        return cls(inputs, horizon, settings, [(r["h"], r["rows"], r["gamma"], np.array(r["beta"]), np.array(r["support"]).reshape(-1, len(inputs))) for r in rows])
+        return cls(inputs, horizon, settings, spark.read.schema(cls.SCHEMA).parquet(path))

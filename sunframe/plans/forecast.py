@@ -98,7 +98,7 @@ def fit_or_load(spark: SparkSession, config: ForecastConfig, data: Prepared, pat
     elif config.model == "SVM":
         model = SVRForecaster.fit(train, data.inputs, data.outputs, s)
         if config.save_model:
-            model.save(spark, where)
+            model.save(where)
     else:
         features = len(data.inputs) // (config.history + 1)
         tensor = _tensors(train, config, data)

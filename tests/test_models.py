@@ -110,9 +110,35 @@ def test_svr_blocks_and_storage(spark, tmp_path):
         model = SVRForecaster.fit(df, ["x"], ["a", "b"], settings, block=block)
         got = np.array([r["forecast"] for r in model.predict(df).orderBy("sample_id").collect()])
         assert np.abs(got - np.stack([np.sin(3 * x), x * x], 1)).max() < 0.1
-    model.save(spark, str(tmp_path / "svr"))
+        assert np.allclose(got, averaged(model, x[:, None]))
+    assert model.machines.select("block").distinct().count() == 3
+    model.save(str(tmp_path / "svr"))
     again = SVRForecaster.load(spark, str(tmp_path / "svr"), ["x"], 2, settings)
-    assert np.allclose(again.forecast(x[:, None]), got)
+    assert np.allclose([r["forecast"] for r in again.predict(df).orderBy("sample_id").collect()], got)
+    assert again.predict(df.limit(0)).count() == 0
+    empty = SVRForecaster.fit(df.limit(0), ["x"], ["a", "b"], settings).predict(df).collect()
+    assert len(empty) == 200 and all(r["forecast"] == [0.0, 0.0] for r in empty)
+
+
+def test_svr_rows_are_scored_in_chunks(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    x = r.uniform(-1, 1, (90, 2))
+    df = spark.createDataFrame([(i, float(u), float(v), float(u * v), i % 3) for i, (u, v) in enumerate(x)], "sample_id long, u double, v double, y double, block int")
+    model = SVRForecaster.fit(df, ["u", "v"], ["y"], HYPER["SVM"], block=40)
+    monkeypatch.setattr("sunframe.models.svr.CHUNK", 25)
+    out = model.predict(df).orderBy("sample_id").collect()
+    assert [o["sample_id"] for o in out] == list(range(90)) and [o["block"] for o in out] == [i % 3 for i in range(90)]
+    assert np.allclose([o["forecast"] for o in out], averaged(model, x))
+
+
+def averaged(model, x):
+    """Forecasts of all machines one by one, averaged by their rows."""
+    out, weight, s = np.zeros((len(x), model.horizon)), np.zeros(model.horizon), model.settings
+    for m in model.machines.collect():
+        weight[m["h"]] += m["rows"]
+        for beta, vector in zip(m["beta"], m["support"], strict=True):
+            out[:, m["h"]] += m["rows"] * beta * (1 + np.exp(-m["gamma"] * ((x - np.array(vector)) ** 2).sum(1)))
+    return out / weight
 
 
 def test_forest_learns_and_is_stored(spark, tmp_path):
