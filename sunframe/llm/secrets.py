@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
-Labelled samples train character chains: one of random strings for each alphabet that secrets are
+Labelled samples and all words of the corpus train character chains: one of random strings for each alphabet that secrets are
 made of, one of ordinary identifiers, and one of every other ordinary kind (UUIDs). A run of
 identifier characters is searched for the stretches whose summed log-likelihood ratios are largest;
 where a stretch stands, and what surrounds it, does not matter. The ratios alone decide.
@@ -13,15 +13,16 @@ import random
 import re
 import uuid
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import fresh, id_and_text, map_texts, prepare, table, text_column
+from sunframe.llm.common import fresh, id_and_text, map_texts, prepare, table, text_column, written
 
 #: The base patterns by kind, in the order that ties are listed.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -35,10 +36,12 @@ CANDIDATE, CHARACTERS = re.compile(r"[A-Za-z0-9+/_=-]{20,}"), re.compile(r"[A-Za
 LEAST_SCORE, LEAST_STRETCH = 10.0, 10
 #: Share of held-out ordinary strings that may pass the threshold.
 FALSE_SHARE = 0.003
+#: Strings of one alphabet that make a chain of random strings.
+LEAST_ALIKE = 50
 #: Strings by label in the generated sample, and its seed.
 SAMPLE, SEED = 4000, 7
-#: Documents (about), words of them, and rows of a table of samples (at most) that the models learn from; chosen by a hash.
-SAMPLE_DOCUMENTS, SAMPLE_WORDS, SAMPLE_ROWS = 2000, 20_000, 50_000
+#: Weight of a string that teaches, and of the same in capitals, as constants are written.
+WHOLE, CAPITALS = 4, 1
 #: Words that the corpus teaches; patterns that keep a document from teaching any.
 WORD, _BASE = "[A-Za-z0-9+/_=-]{5,}", r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
 #: Words that the sample's ordinary identifiers are made of.
@@ -118,20 +121,31 @@ def _states(run: str) -> np.ndarray:
     return np.concatenate([np.zeros(2, np.int64), _CODE[np.frombuffer(run.encode(), np.uint8)]])
 
 
-def chain(strings: Iterable[str]) -> np.ndarray:
+def triples(strings: list[str], weights: Iterable[int] | None = None) -> np.ndarray:
+    """How often, by weight, each character follows each two others; ``strings`` hold characters of a run alone."""
+    size = len(_STATES)
+    if not strings:
+        return np.zeros(size**3)
+    c = _CODE[np.frombuffer("".join("^^" + s for s in strings).encode(), np.uint8)]
+    at = np.flatnonzero(c)
+    each = None if weights is None else np.repeat(np.fromiter(weights, np.float64, len(strings)), [len(s) for s in strings])
+    return np.bincount((c[at - 2] * size + c[at - 1]) * size + c[at], each, size**3).astype(np.float64)
+
+
+def smoothed(counts: np.ndarray) -> np.ndarray:
     """``log p[i, j, k]`` of character k after i and j: a second-order chain, each context smoothed by the shorter one."""
     size = len(_STATES)
-    triples = np.zeros(size**3)
-    codes = [_states(s) for s in strings]
-    for at in range(0, len(codes), 10_000):
-        some = codes[at : at + 10_000]
-        key = np.concatenate([(c[:-2] * size + c[1:-1]) * size + c[2:] for c in some])
-        triples += np.bincount(key, minlength=size**3)
-    triples = triples.reshape(size, size, size)
-    pairs, single = triples.sum(axis=0), triples.sum(axis=(0, 1))
+    counts = counts.reshape(size, size, size)
+    pairs, single = counts.sum(axis=0), counts.sum(axis=(0, 1))
     p1 = (single + 1.0) / (single.sum() + size)
     p2 = (pairs + _PRIOR * p1) / (pairs.sum(axis=1, keepdims=True) + _PRIOR)
-    return np.log((triples + _PRIOR * p2) / (triples.sum(axis=2, keepdims=True) + _PRIOR))
+    return np.log((counts + _PRIOR * p2) / (counts.sum(axis=2, keepdims=True) + _PRIOR))
+
+
+def chain(strings: Iterable[str]) -> np.ndarray:
+    """The chain of some strings."""
+    strings = list(strings)
+    return smoothed(sum((triples(strings[at : at + 10_000]) for at in range(0, len(strings), 10_000)), np.zeros(len(_STATES) ** 3)))
 
 
 def _alphabet(text: str) -> str:
@@ -195,11 +209,9 @@ class SecretScanner:
         alike: dict[str, list[str]] = {}
         for s in secret[::2]:
             alike.setdefault(_alphabet(s), []).append(s)
-        few = [s for group in alike.values() if len(group) < 50 for s in group]
-        groups = [g for g in alike.values() if len(g) >= 50] or [few]
-        ordinary = chain(plain[::2])
-        self._ratio = np.stack([chain(g) - ordinary for g in groups]).astype(np.float32)
-        self._others = np.stack([chain(x[::2]) - ordinary for _, x in sorted(by.items())]).astype(np.float32) if by else np.zeros((0, *ordinary.shape), np.float32)
+        few = [s for group in alike.values() if len(group) < LEAST_ALIKE for s in group]
+        groups = [g for g in alike.values() if len(g) >= LEAST_ALIKE] or [few]
+        self._fit([chain(g) for g in groups], chain(plain[::2]), [chain(x[::2]) for _, x in sorted(by.items())])
         held = [s for s in plain[1::2] if len(s) >= 20]
         self.threshold = LEAST_SCORE
         scores = sorted(self.score(s) for s in held)
@@ -207,6 +219,22 @@ class SecretScanner:
             self.threshold = max(LEAST_SCORE, scores[min(len(scores) - 1, int((1 - FALSE_SHARE) * len(scores)))])
         self.recall = sum(bool(self.scan(s)) for s in secret[1::2]) / max(1, len(secret[1::2]))
 
+    def _fit(self, groups: list[np.ndarray], ordinary: np.ndarray, others: list[np.ndarray]) -> None:
+        self._ratio = np.stack([g - ordinary for g in groups]).astype(np.float32)
+        self._others = np.stack([x - ordinary for x in others]).astype(np.float32) if others else np.zeros((0, *ordinary.shape), np.float32)
+
+    @classmethod
+    def of_counts(cls, counts: dict[tuple[str, str], tuple[float, np.ndarray]]) -> SecretScanner:
+        """A scanner of (strings, triples) by label and, for secrets, alphabet; its threshold is ``LEAST_SCORE``."""
+        none = (0.0, np.zeros(len(_STATES) ** 3))
+        alike = [counts[k] for k in sorted(counts) if k[0] == "secret"] or [none]
+        groups = [t for n, t in alike if n >= LEAST_ALIKE] or [sum(t for _, t in alike)]
+        self = cls.__new__(cls)
+        others = [smoothed(counts[k][1]) for k in sorted(counts) if k[0] not in ("secret", "identifier")]
+        self._fit([smoothed(t) for t in groups], smoothed(counts.get(("identifier", ""), none)[1]), others)
+        self.threshold = LEAST_SCORE
+        return self
+
     def steps(self, run: str) -> np.ndarray:
         """Log-likelihood ratio of each character, one row a chain of random strings."""
         c = _states(run)
@@ -278,35 +306,112 @@ def scanner() -> SecretScanner:
     return _SCANNERS[0]
 
 
-def corpus_words(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, words: int = SAMPLE_WORDS) -> list[str]:
-    """Ordinary strings of a corpus: words of documents without a base secret that stand in two different texts or more.
+def corpus_words(docs: DataFrame) -> DataFrame:
+    """Column ``word``: ordinary strings of a whole corpus, those that stand in two different texts without a base secret.
+
+    Every row is read. A secret that no pattern knows seldom stands in two different texts, so it does not
+    teach that it is ordinary.
+    """
+    texts = id_and_text(docs).filter(F.col("text").isNotNull() & ~F.col("text").rlike(_BASE))
+    found = texts.select(F.xxhash64("text").alias("whole"), F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word"))
+    return found.groupBy("word").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).filter("a < b").select("word")
+
+
+_COUNTS = pa.schema([("label", pa.string()), ("alphabet", pa.string()), ("triple", pa.int32()), ("n", pa.float64())])
+
 
-    About ``documents`` rows are looked at, those whose text's hash is in a range that holds this share of
-    all hashes, and at most ``words`` words returned, chosen by a hash. A secret that no pattern knows
-    seldom stands in two different texts, so it does not teach that it is ordinary.
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted triples of (label, text, weight) by label and alphabet; triple -1 counts strings."""
+    sums: dict[tuple[str, str], list] = {}
+
+    def rows():
+        for (label, alphabet), (n, t) in sums.items():
+            at = np.flatnonzero(t)
+            arrays = [pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, t[at]])]
+            yield pa.RecordBatch.from_arrays([pa.repeat(label, len(at) + 1), pa.repeat(alphabet, len(at) + 1), *arrays], schema=_COUNTS)
+        sums.clear()
+
+    for batch in batches:
+        by: dict[tuple[str, str], list[tuple[str, int]]] = {}
+        for label, text, weight in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            text = "".join(CHARACTERS.findall(text))
+            if text:
+                by.setdefault((label, _alphabet(text) if label == "secret" else ""), []).append((text, weight))
+        for kind, strings in by.items():
+            held = sums.setdefault(kind, [0.0, 0.0])
+            held[0] += sum(w for _, w in strings)
+            held[1] = held[1] + triples([x for x, _ in strings], [w for _, w in strings])
+            if len(sums) >= 64:
+                yield from rows()
+    yield from rows()
+
+
+def ranked(rows: DataFrame, share: float) -> float | None:
+    """The least ``score`` that, with those below it, has over ``share`` of the ``weight`` (whole numbers), else the largest; none without rows.
+
+    Exact, whatever the number of rows: a thousand bins a round, each round within one bin of the last.
     """
-    rows = id_and_text(docs).filter("text is not null").select("text")
-    share = min(1.0, documents / max(1, docs.count()))
-    last = min(int(share * (1 << 64)), (1 << 64) - 1) - (1 << 63)
-    chosen = rows.filter(F.xxhash64("text") <= F.lit(last).cast("long"))
-    some = chosen.filter(~F.col("text").rlike(_BASE)).distinct()
-    found = some.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), 0))).alias("word")).groupBy("word").count().filter("count > 1")
-    return [r["word"] for r in found.orderBy(F.xxhash64("word"), "word").limit(words).collect()]
+    low, high, total = rows.agg(F.min("score"), F.max("score"), F.sum("weight")).first()
+    if low is None:
+        return None
+    below = 0
+    while low < high:
+        place = F.least(F.floor((F.col("score") - F.lit(low)) / F.lit(high - low) * 1000), F.lit(999)).alias("bin")
+        inside = rows.filter(F.col("score").between(low, high)).groupBy(place).agg(F.min("score").alias("low"), F.max("score").alias("high"), F.sum("weight").alias("weight"))
+        for r in sorted(inside.collect()):
+            low, high = r["low"], r["high"]
+            if below + r["weight"] > share * total:
+                break
+            below += r["weight"]
+        else:
+            return high
+    return low
 
 
 def trained(docs: DataFrame, samples: DataFrame | None = None) -> SecretScanner:
-    """A scanner for a corpus: generated samples, the corpus's own ordinary words, and labelled ``samples``.
+    """A scanner for a corpus: generated samples, all of the corpus's own ordinary words, and all labelled ``samples``.
 
-    ``samples`` has ``label`` ("secret", "identifier" or the name of another ordinary kind) and ``text``;
-    at most ``SAMPLE_ROWS`` of them, chosen by a hash, are learnt from. Null labels and texts teach nothing.
+    ``samples`` has ``label`` ("secret", "identifier" or the name of another ordinary kind) and ``text``.
+    Null labels and texts teach nothing, repeated rows teach once. Half of the strings train, by a hash; the
+    identifiers of the other half set the threshold. Words of the corpus also count, by a quarter, in
+    capitals. The driver gets counts of character triples, at most 66 ** 3 a label and alphabet.
     """
-    given = []
+    spark = prepare(docs.sparkSession)
+    seen: dict[str, int] = {}
+    made = []
+    for label, text in labelled_samples():
+        seen[label] = seen.get(label, 0) + 1
+        made.append((label, text, WHOLE, (seen[label] - 1) % 2))
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
+    rows = spark.createDataFrame(made, "label string, text string, weight int, half int").coalesce(1)
+    words = written(corpus_words(docs).select(F.col("word").alias("text"), half), "secret-words")
+    for text, weight in ((F.col("text"), WHOLE), (F.upper("text"), CAPITALS)):
+        rows = rows.unionByName(words.select(F.lit("identifier").alias("label"), text.alias("text"), F.lit(weight).alias("weight"), "half"))
     if samples is not None:
-        rows = samples.select(F.col("label").cast("string").alias("label"), F.col("text").cast("string").alias("text")).na.drop().distinct()
-        given = [(r["label"], r["text"]) for r in rows.orderBy(F.xxhash64("label", "text"), "label", "text").limit(SAMPLE_ROWS).collect()]
-    words = corpus_words(docs)
-    capitals = [w.upper() for w in words[::4]]  # as constants are written
-    return SecretScanner([*labelled_samples(), *(("identifier", w) for w in [*words, *capitals]), *given])
+        given = samples.select(F.col("label").cast("string").alias("label"), F.col("text").cast("string").alias("text")).na.drop().distinct()
+        rows = rows.unionByName(given.select("label", "text", F.lit(WHOLE).alias("weight"), half))
+    taught = rows.filter("half = 0").select("label", "text", "weight").mapInArrow(_counted, "label string, alphabet string, triple int, n double")
+    found = taught.groupBy("label", "alphabet", "triple").agg(F.sum("n").alias("n")).toArrow()
+    counts: dict[tuple[str, str], tuple[float, np.ndarray]] = {}
+    kinds = found.group_by(["label", "alphabet"]).aggregate([]).to_pylist()
+    for k in kinds:
+        own = found.filter((pc.field("label") == k["label"]) & (pc.field("alphabet") == k["alphabet"]))
+        at, n = own["triple"].to_numpy(), own["n"].to_numpy() / WHOLE
+        counts[k["label"], k["alphabet"]] = float(n[at < 0].sum()), np.bincount(at[at >= 0], n[at >= 0], len(_STATES) ** 3)
+    model = SecretScanner.of_counts(counts)
+    shared = spark.sparkContext.broadcast(model)  # tables of fixed size
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = ["".join(CHARACTERS.findall(x)) for x in batch.column(0).to_pylist()]
+            long = [(shared.value.score(x), w) for x, w in zip(runs, batch.column(1).to_pylist(), strict=True) if len(x) >= 20]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in long], pa.float64()), pa.array([w for _, w in long], pa.int64())], ["score", "weight"])
+
+    held = rows.filter("half = 1 and label = 'identifier' and length(text) >= 20").select("text", "weight")
+    least = ranked(written(held.mapInArrow(scored, "score double, weight long"), "secret-scores"), 1 - FALSE_SHARE)
+    shared.unpersist()
+    model.threshold = max(LEAST_SCORE, least or 0.0)
+    return model
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:

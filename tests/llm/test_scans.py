@@ -11,6 +11,7 @@ import string
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sunframe.llm import common, licenses, secrets, urls
@@ -500,3 +501,36 @@ def test_joins_of_hot_keys_lose_nothing(spark, monkeypatch, how):
     one = spark.range(0, 15).selectExpr("id as key", "id * 10 as v").union(spark.sql("select 3L, 31L"))
     want = sorted(map(str, many.join(one, many["k"] == one["key"], how).collect()))
     assert sorted(map(str, common.spread_join(many, one, {"k": "key"}, how, hot_rows=9).collect())) == want
+
+
+def test_models_and_threshold_come_from_every_document(spark):
+    """6,000 documents, each word in two of them: counts and the threshold equal those of all words, by a plain loop."""
+    r = random.Random(12)
+    parts = ["zqu", "xov", "wyk", "jib", "vlo", "Q7", "_k"]
+    words = sorted({"".join(r.choices(parts, k=r.randint(4, 12))) for _ in range(9000)})
+    places = [w for w in words for _ in range(2)]
+    r.shuffle(places)
+    texts = [" ".join(places[i::6000]) for i in range(6000)] + ["token=abcdef lonely_word_of_a_secret lonely_word_of_a_secret", "once_only_and_nowhere_else"] * 2
+    model = secrets.trained(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
+
+    where = {}
+    for text in texts:
+        if not re.search(secrets._BASE, text):
+            for w in re.findall(secrets.WORD, text):
+                where.setdefault(w, set()).add(text)
+    plain = [(w, xxhash.xxh64_intdigest(w, 42) % 2) for w, t in where.items() if len(t) > 1]
+    assert len(plain) > 8000
+    samples = secrets.labelled_samples()
+    made = [x for k, x in samples if k == "identifier"]
+    counts = secrets.triples([*made[::2], *(w for w, half in plain if not half)]) + secrets.triples([w.upper() for w, half in plain if not half]) / 4
+    hexes = [x for x in [x for k, x in samples if k == "secret"][::2] if re.fullmatch("[0-9a-f]*", x)]
+    want = secrets.chain(hexes) - secrets.smoothed(counts)
+    assert any(np.allclose(want, ratio, atol=1e-4) for ratio in model._ratio)
+    scores = [(model.score(x), 4) for x in made[1::2]]
+    scores += [(model.score(x), weight) for w, half in plain if half and len(w) >= 20 for x, weight in ((w, 4), (w.upper(), 1))]
+    total, below = sum(n for _, n in scores), 0
+    for score, n in sorted(scores):
+        below += n
+        if below > (1 - secrets.FALSE_SHARE) * total:
+            break
+    assert model.threshold == max(secrets.LEAST_SCORE, score) and score > secrets.LEAST_SCORE
