@@ -11,7 +11,7 @@ bands (21 or 22 exact bits each), whatever the number of its copies.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -91,7 +91,7 @@ def _csa(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def lanes_within(differences, shape: tuple[int, ...], valid: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes whose distance is at most ``radius`` (under 8), as words, and the columns that these words stand for.
+    """Lanes whose distance is at most ``radius`` (under 64), as words, and the columns that these words stand for.
 
     ``differences(p, columns)`` gives the XOR of plane p for the columns still alive; ``valid`` has
     the lanes that count. Eight planes a step go through carry-save adders; columns of which every
@@ -101,6 +101,7 @@ def lanes_within(differences, shape: tuple[int, ...], valid: np.ndarray, radius:
     valid = valid[..., columns]
     ones = np.zeros(valid.shape, np.uint64)
     twos, fours, over = np.zeros_like(ones), np.zeros_like(ones), np.zeros_like(ones)
+    higher = [np.zeros_like(ones) for _ in range(3, radius.bit_length())]  # eights and so on
     alive = valid
     for step in range(0, 64, 8):
         if not len(columns):
@@ -113,20 +114,22 @@ def lanes_within(differences, shape: tuple[int, ...], valid: np.ndarray, radius:
         ones, b = _csa(ones, x[6], x[7])
         twos, g = _csa(twos, a, b)
         fours, e = _csa(fours, f, g)
+        for i, plane in enumerate(higher):
+            higher[i], e = plane ^ e, plane & e
         over = over | e
-        alive = valid & ~(over | _greater(ones, twos, fours, radius))
+        alive = valid & ~(over | _greater([*higher[::-1], fours, twos, ones], radius))
         living = alive.any(axis=0) if alive.ndim > 1 else alive != 0
         if living.sum() < 0.75 * len(columns):
             columns = columns[living]
-            valid, ones, twos, fours, over, alive = (v[..., living] for v in (valid, ones, twos, fours, over, alive))
+            valid, ones, twos, fours, over, alive, *higher = (v[..., living] for v in (valid, ones, twos, fours, over, alive, *higher))
     return alive, columns
 
 
-def _greater(ones: np.ndarray, twos: np.ndarray, fours: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose three-bit count is over ``radius``."""
-    more, same = np.zeros_like(ones), np.full_like(ones, _ONES)
-    for word, bit in ((fours, radius >> 2 & 1), (twos, radius >> 1 & 1), (ones, radius & 1)):
-        if bit:
+def _greater(counter: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count is over ``radius``; the planes of the count come largest first."""
+    more, same = np.zeros_like(counter[0]), np.full_like(counter[0], _ONES)
+    for place, word in zip(range(len(counter) - 1, -1, -1), counter, strict=True):
+        if radius >> place & 1:
             same = same & word
         else:
             more = more | (same & word)
@@ -178,10 +181,29 @@ def links(keys: np.ndarray, prints: np.ndarray, radius: int = RADIUS, small: int
     Keys with up to ``small`` rows are compared side by side, each lane with the lane d further on;
     larger ones a block of queries against all of the key's planes.
     """
+    a, b = linked_rows(keys, prints, radius, small)
+    return prints[a], prints[b]
+
+
+def linked_rows(keys: np.ndarray, prints: np.ndarray, radius: int, small: int, sure: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``links`` as numbers of rows. With ``sure``, a pair within the radius links only if it says so.
+
+    Rows that are linked already, directly or not, are not asked about. With ``sure``, rows of a large key that are
+    linked with its first one are not compared with each other.
+    """
     n = len(keys)
     parent = np.arange(n)
     if n < 2:
-        return prints[:0], prints[:0]
+        return parent[:0], parent[:0]
+
+    def joined(i, j):
+        if sure is not None:
+            apart = parent[i] != parent[j]
+            i, j = i[apart], j[apart]
+            good = sure(i, j)
+            i, j = i[good], j[good]
+        return _join(parent, i, j)
+
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sizes = np.diff(np.r_[starts, n])
     is_small = np.repeat(sizes <= small, sizes)
@@ -193,20 +215,25 @@ def links(keys: np.ndarray, prints: np.ndarray, radius: int = RADIUS, small: int
             break
         words, columns = lanes_within(lambda p, c, d=d: vertical[p, c] ^ _shifted(vertical, d, p, c), (), _pack(valid, vertical.shape[1]), radius)
         (lane,) = _lane_indices(words, columns)
-        parent = _join(parent, lane, lane + d)
+        parent = joined(lane, lane + d)
     for start, size in zip(starts[sizes > small], sizes[sizes > small], strict=True):
-        own = planes(prints[start : start + size])
-        for at in range(0, size, 64):
-            q = prints[start + at : start + min(at + 64, size)]
+        place, queries = np.arange(start, start + size), size
+        if sure is not None:
+            parent = joined(np.full(size - 1, start), place[1:])
+            rest = parent[place] != parent[start]
+            place, queries = np.r_[place[rest], place[~rest]], int(rest.sum())
+        own = planes(prints[place])
+        for at in range(0, queries, 64):
+            q = prints[place[at : min(at + 64, queries)]]
             valid = np.zeros(own.shape[1] * 64, bool)
             valid[at:size] = True
             valid = np.repeat(_pack(valid, own.shape[1])[None, :], len(q), axis=0)
             bits = [np.where((q >> np.uint64(p)) & np.uint64(1), _ONES, np.uint64(0))[:, None] for p in range(64)]
             words, columns = lanes_within(lambda p, c, bits=bits, own=own: own[p, c][None, :] ^ bits[p], (), valid, radius)
             row, lane = _lane_indices(words, columns)
-            parent = _join(parent, start + at + row, start + lane)
+            parent = joined(place[at + row], place[lane])
     linked = np.flatnonzero(parent != np.arange(n))
-    return prints[linked], prints[parent[linked]]
+    return linked, parent[linked]
 
 
 def _link_rows(radius: int):

@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from sunframe.llm import common, similar
+from sunframe.llm import common, similar, simhash
 from tests.llm.edges import EXTRA, ROWS, edge_docs, no_docs
 
 SF = "/root/testdata/sf0.1"
@@ -104,3 +104,83 @@ def test_stage_on_edges(spark, monkeypatch, most):
     assert len(rows) == 11 < len(ROWS)
     assert all(x[c] == f"own {c}" for x in rows for c in EXTRA)
     assert similar.drop_similar(no_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize(("groups", "near", "small"), [(40, 25, 48), (2, 25, 8), (1, 300, 8), (1, 1, 8)])
+def test_bit_sliced_links_at_a_wide_radius_equal_all_pairs(groups, near, small):
+    """The comparison of op1 at the stage's radii: connected are just the rows that pairs within both radii connect."""
+    r = np.random.default_rng(groups + near)
+    count = 600
+    wide = np.repeat(r.integers(0, 1 << 64, (count // near, similar.WIDE), dtype=np.uint64), near, axis=0)
+    for _ in range(40):
+        flips = (np.uint64(1) << r.integers(0, 64, wide.shape).astype(np.uint64)) * (r.random(wide.shape) < 0.3)
+        wide ^= flips.astype(np.uint64)
+    keys = np.sort(r.integers(0, groups, len(wide)))
+    wide = wide[r.permutation(len(wide))]
+
+    def far(i, j):
+        return np.bitwise_count(wide[i] ^ wide[j]).sum(axis=-1)
+
+    a, b = simhash.linked_rows(keys, np.ascontiguousarray(wide[:, 0]), similar.RADIUS, small, lambda i, j: far(i, j) <= similar.WIDE_RADIUS)
+
+    def classes(pairs):
+        top = np.arange(len(wide))
+        for i, j in pairs:
+            top[top == top[j]] = top[i]
+        return [np.flatnonzero(top == t)[0] for t in top]
+
+    want = []
+    for i in range(len(wide)):
+        close = (np.bitwise_count(wide[i, 0] ^ wide[:, 0]) <= similar.RADIUS) & (far(i, slice(None)) <= similar.WIDE_RADIUS) & (keys == keys[i])
+        want += [(i, int(j)) for j in np.flatnonzero(close) if j > i]
+    assert classes(zip(a, b, strict=True)) == classes(want)
+    assert (near == 1) or want
+
+
+@pytest.mark.parametrize("radius", [7, 8, 24, 31, 32, 63])
+def test_larger_radii_count_exactly(radius):
+    r = np.random.default_rng(radius)
+    base = r.integers(0, 1 << 63, dtype=np.uint64)
+    for distance in (radius - 1, radius, radius + 1, 64):
+        other = base
+        for bit in r.choice(64, min(64, distance), replace=False):
+            other ^= np.uint64(1) << np.uint64(bit)
+        a, _ = simhash.links(np.zeros(2, np.int64), np.array([base, other], np.uint64), radius)
+        assert len(a) == (distance <= radius)
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_candidates_of_the_stage_come_from_simhash(spark, monkeypatch, block):
+    """Every similar pair is connected by the SimHash comparison, in split buckets too; unrelated texts are not."""
+    monkeypatch.setattr(similar, "BLOCK", block)
+    r = np.random.default_rng(8)
+    sets, pairs = [], []
+    for i in range(150):
+        x = np.unique(r.integers(0, 1 << 64, 110, dtype=np.uint64))
+        sets += [np.sort(x[:99]), np.sort(np.r_[x[:88], x[99:]])]
+        pairs.append((2 * i, 2 * i + 1))
+    bits = similar.band_bits(len(sets))
+    mix = similar._mix(similar.fingerprints(bits))
+    rows = [(i, len(s), similar.prints(s, mix).view(np.int64).tolist()) for i, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, n long, prints array<long>")
+    got = {tuple(sorted((x["a"], x["b"]))) for x in similar.candidates(nodes, bits).collect()}
+    assert got == set(pairs)
+
+
+@pytest.mark.parametrize(("texts", "bits"), [(0, 8), (10_000, 8), (43_000, 10), (220_000, 12), (10**9, 24), (10**14, 32)])
+def test_bands_grow_with_the_table_and_keep_the_miss_rate(texts, bits):
+    assert similar.band_bits(texts) == bits
+    bands = similar.fingerprints(bits) * (64 // bits)
+    assert (1 - (1 - similar.BIT_DIFFERS) ** bits) ** bands <= similar.MISS
+
+
+def test_fingerprints_are_the_definition():
+    r = np.random.default_rng(9)
+    for size in (0, 1, 4, 5, 255, 256, 700):
+        s = np.unique(r.integers(0, 1 << 64, size, dtype=np.uint64))
+        mix = similar._mix(5)
+        want = []
+        for a, b in mix.tolist():
+            hashes = [(x := ((h ^ a) * b) % (1 << 64)) ^ (x >> 32) for h in s.tolist()]
+            want.append(sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes)))
+        assert similar.prints(s, mix).tolist() == want
