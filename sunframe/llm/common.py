@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,7 +16,7 @@ from sunframe.session import prepared
 from sunframe.sources.scratch import materialised as written
 from sunframe.sources.scratch import remove, shared_path
 
-__all__ = ["fresh", "id_and_text", "map_texts", "prepare", "release", "remove", "shared_path", "small", "spread_join", "table", "text_column", "text_filter", "written"]
+__all__ = ["begin", "forgotten", "fresh", "give_back", "id_and_text", "map_texts", "prepare", "release", "remove", "shared_path", "small", "spread_join", "table", "text_column", "text_filter", "written"]
 
 #: Rows and bytes of one Arrow batch: bounds a worker's memory when texts are long.
 TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 2000, 32 << 20
@@ -47,6 +49,33 @@ def release(spark: SparkSession, path: str | None = None) -> None:
         remove(spark, path)
 
 
+#: What a worker process remembers from task to task, as functions that forget it, and the operator it last worked for.
+_FORGET: list[Callable[[], object]] = []
+_OWNER = [""]
+
+
+def forgotten(forget: Callable[[], object]) -> None:
+    """``forget`` is called when a worker process passes to another operator."""
+    _FORGET.append(forget)
+
+
+def begin(owner: str) -> None:
+    """A task of ``owner`` begins: Spark keeps worker processes, so what they remember for another operator goes."""
+    if _OWNER[0] != owner:
+        _OWNER[0] = owner
+        for forget in _FORGET:
+            forget()
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system, where the allocators can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fresh(name: str, taken: Iterable[str]) -> str:
     """``name``, lengthened until it clashes with no column."""
     low = {c.lower() for c in taken}
@@ -65,6 +94,7 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], l
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(make.__module__)
         work = make()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), *work(batch.column(1).to_pylist())], ["doc_id", *names])
@@ -75,6 +105,7 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], l
 def text_filter(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text ``make()`` accepts."""
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        begin(make.__module__)
         work = make()
         for part in parts:
             yield pd.Series(work([x if isinstance(x, str) else None for x in part]), dtype=bool)

@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from sunframe.llm.common import forgotten
+
 #: Distinct chunks a worker remembers before it starts afresh: bounds its memory.
 CACHE_CHUNKS = 500_000
 #: Fixed value: the split pattern whose matches never hold white space, so that texts can be encoded by the chunk.
@@ -135,10 +137,11 @@ class Encoder(ChunkCoder):
 
 
 _ENCODERS: dict[str, Encoder] = {}
+forgotten(_ENCODERS.clear)
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process, kept from task to task."""
+    """One encoder a worker process, kept from task to task of one operator."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

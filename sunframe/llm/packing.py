@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import id_and_text, table, written
+from sunframe.llm.common import begin, give_back, id_and_text, table, written
 from sunframe.llm.encoding import default_tokenizer, encoder
 
 CAPACITY = 2048
@@ -165,8 +165,11 @@ def _leaf(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, end, count = TaskContext.get().partitionId(), end_id.to_bytes(4, "little"), 0
 
+        begin(__name__)
+
         def items():
             for batch in batches:
+                pa.default_memory_pool().release_unused()  # the texts cut in chunks take several times their size
                 for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
                     for k, (start, length, crc) in enumerate(pieces(ids + end, capacity)):
                         yield length, [{"doc_id": doc_id, "piece": k, "start": start, "length": length, "ids_crc32": crc, "offset": 0}]
@@ -178,6 +181,7 @@ def _leaf(path: str, end_id: int, capacity: int):
             else:  # numbered anew for each fill
                 for _, same in groupby(bins, key=lambda b: b[0]):
                     yield from _batches(list(same), False, node, 0)
+        give_back()
 
     return run
 

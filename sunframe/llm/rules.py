@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import fresh, prepare, small, table, text_column, written
+from sunframe.llm.common import begin, fresh, prepare, small, table, text_column, written
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -106,6 +106,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id, stratum``, the base statistics and ``levels`` of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         for batch in batches:
             got = [measure(t) for t in batch.column(2).to_pylist()]
             stats = [pa.array([g[0][i] for g in got], pa.int64()) for i in range(len(_STATS))]
@@ -231,6 +232,7 @@ def keep_by_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def kept(texts: pd.Series, strata: pd.Series) -> pd.Series:
+        begin(__name__)
         out = []
         for text, s in zip(texts, strata, strict=True):
             stats, levels = measure(text if isinstance(text, str) else None)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import fresh, id_and_text, map_texts, prepare, table, text_column, written
+from sunframe.llm.common import begin, fresh, id_and_text, map_texts, prepare, table, text_column, written
 
 #: The base patterns by kind, in the order that ties are listed.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -322,6 +322,7 @@ _COUNTS = pa.schema([("label", pa.string()), ("alphabet", pa.string()), ("triple
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Weighted triples of (label, text, weight) by label and alphabet; triple -1 counts strings."""
+    begin(__name__)
     sums: dict[tuple[str, str], list] = {}
 
     def rows():
@@ -461,6 +462,7 @@ def redact_secrets(docs: DataFrame, samples: DataFrame | None = None) -> DataFra
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
+        begin(__name__)
         return pd.Series([redacted(t, model=model.value) if isinstance(t, str) else None for t in texts], dtype=object)
 
     new = fresh("redacted", docs.columns)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunframe.llm.common import map_texts, small, spread_join, written
+from sunframe.llm.common import begin, give_back, map_texts, small, spread_join, written
 from sunframe.llm.components import connected_components
 from sunframe.llm.simhash import BLOCK, SEED, keep_first, linked_rows, shingle_hashes
 
@@ -107,6 +107,7 @@ def _sketch(bits: int):
 
 
 def _sets(batches):
+    begin(__name__)
     for batch in batches:
         sets = pa.array([shingle_set(t).tobytes() for t in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], [*batch.schema.names[:-1], "shingles"])
@@ -161,6 +162,8 @@ def _link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, rows = [[c[cut:] for c in columns]], rows - cut
     if held:
         yield out(*(np.concatenate(c) for c in zip(*held, strict=True)))
+    held.clear()
+    give_back()
 
 
 def candidates(nodes: DataFrame, bits: int) -> DataFrame:

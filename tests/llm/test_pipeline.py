@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 import corpus_pipeline
-from sunframe.llm import classifier, rules, secrets
+from sunframe.llm import classifier, common, encoding, packing, rules, secrets
 from tests.conftest import SF_LARGER
 from tests.llm.edges import EXTRA, edge_docs
 from tests.llm.test_quality import brute_stats
@@ -80,3 +82,13 @@ def test_clean_documents_stay(spark):
         out = stage(spark, docs, "/root/testdata/sf0.1")
         left = good.join(out, "doc_id", "left_semi").count()
         assert left >= 0.98 * total
+
+
+def test_workers_forget_the_ids_of_the_packing_when_another_stage_begins(spark):
+    docs = spark.read.parquet(f"{SF_LARGER}/documents.parquet").repartition(8)
+    packing.pack(docs).count()
+
+    def make():
+        return lambda texts: [pa.array([len(encoding._ENCODERS)] * len(texts), pa.int64())]
+
+    assert {r["held"] for r in common.map_texts(docs, make, "held long").collect()} == {0}
